@@ -1,0 +1 @@
+"""Column functions: impurity/split scores, vector distances, rule text, seeded draws."""

@@ -25,3 +25,20 @@ def order_baskets(spark: SparkSession, folder: str, item: str = "p_brand") -> Da
 def joined(items):
     """Arrays are compared as '|'-joined strings (the oracle does the same)."""
     return F.concat_ws("|", items)
+
+
+# Classification records (D6) from lineitem x part: 5 numeric and 4 categorical
+# attributes, label = line value above 25,000; the row key is the natural line key.
+NUMERIC = ("l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice")
+CATEGORICAL = ("p_brand", "p_type", "l_returnflag", "l_linestatus")
+LABEL = "label"
+KEY = "row_key"
+SEED = 42
+
+
+def line_records(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_parts(spark, folder, "p_brand", "p_type", "p_size", "p_retailprice")
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    value = F.col("l_quantity") * F.col("p_retailprice") * (F.lit(1.0) - F.col("l_discount"))
+    return rows.select(key.alias(KEY), *[F.col(c).cast("double").alias(c) for c in NUMERIC],
+                       *CATEGORICAL, (value > 25000).cast("int").alias(LABEL))
