@@ -46,7 +46,8 @@ def basket_profile(baskets: DataFrame) -> DataFrame:
                         F.avg(F.size("items")).alias("mean_length"),
                         F.max(F.size("items")).alias("max_length"))
     items = basket_items(baskets).agg(F.countDistinct("item").alias("unique_items"))
-    return stats.crossJoin(items)  # both sides are single aggregate rows
+    one = F.lit(0).alias("_one")
+    return stats.select("*", one).join(items.select("*", one), "_one").drop("_one")
 
 
 def _finish(itemsets: DataFrame, n: int) -> DataFrame:

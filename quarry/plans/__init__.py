@@ -1,9 +1,9 @@
 """Registered queries over the driver tables and their independent SQL oracles."""
 
-from quarry.plans import classify, mining
+from quarry.plans import classify, cluster, mining
 
 QUERIES = {}
 ORACLE = {}
-for _module in (mining, classify):
+for _module in (mining, classify, cluster):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)
