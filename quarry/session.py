@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it
+    back: lineage is cut, the data survives executor loss, and the re-read table has
+    true size statistics.  (``Dataset.checkpoint`` keeps the estimated statistics of
+    the plan it replaces; in iterative jobs those estimates compound round after
+    round until planning itself stalls.)  Never a local checkpoint."""
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
