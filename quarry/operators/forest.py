@@ -15,7 +15,10 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from quarry.operators.encode import vector_pipeline
+from quarry.session import ensure_checkpoint_dir, spread
 from quarry.operators.quality import quality as quality_of
 
 TOP_FEATURES = 15
@@ -37,6 +40,7 @@ def fit_forest(train: DataFrame, test: DataFrame, numeric, categorical, label: s
         raise ValueError("trees, depth and leaf size must be positive")
     if max_features not in ("sqrt", "log2"):
         raise ValueError("max_features must be sqrt or log2")
+    ensure_checkpoint_dir(train.sparkSession)
     prep = vector_pipeline(numeric, categorical).fit(train)
     names = list(numeric)
     indexers = [s for s in prep.stages if hasattr(s, "labelsArray")]
@@ -45,8 +49,14 @@ def fit_forest(train: DataFrame, test: DataFrame, numeric, categorical, label: s
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=n_estimators,
                                 maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                 featureSubsetStrategy=max_features, impurity="gini",
-                                bootstrap=True, seed=seed, maxBins=max_bins)
-    model = rf.fit(prep.transform(train).select("features", F.col(label).cast("double").alias(label)))
+                                bootstrap=True, seed=seed, maxBins=max_bins,
+                                # more nodes per pass over the data and cached node ids:
+                                # fewer passes for deep trees (checkpointed every 10 passes)
+                                maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+    data = spread(prep.transform(train).select("features", F.col(label).cast("double").alias(label)))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    model = rf.fit(data)
+    data.unpersist()
     predictions = model.transform(prep.transform(test)).withColumn(
         "prediction", F.col("prediction").cast("int"))
     spark = train.sparkSession

@@ -75,3 +75,10 @@ def cut_lineage(df):
     path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """At least ``defaultParallelism`` partitions before an iterative MLlib fit (AQE may
+    have coalesced a small input into one partition); a no-op for large inputs."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
