@@ -50,9 +50,9 @@ def fit_forest(train: DataFrame, test: DataFrame, numeric, categorical, label: s
                                 maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                 featureSubsetStrategy=max_features, impurity="gini",
                                 bootstrap=True, seed=seed, maxBins=max_bins,
-                                # more nodes per pass over the data and cached node ids:
-                                # fewer passes for deep trees (checkpointed every 10 passes)
-                                maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+                                # cached node ids: fewer tree traversals per pass for deep trees
+                                # (node-id cache checkpointed every 10 passes)
+                                cacheNodeIds=True, checkpointInterval=10)
     data = spread(prep.transform(train).select("features", F.col(label).cast("double").alias(label)))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     model = rf.fit(data)
