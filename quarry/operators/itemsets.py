@@ -191,3 +191,13 @@ def support_sweep(itemsets: DataFrame, n: int, thresholds) -> DataFrame:
     kept = itemsets.join(F.broadcast(grid), itemsets["count"] >= grid["minimum_count"])
     return (kept.groupBy("threshold", "minimum_count", "length")
             .agg(F.count(F.lit(1)).alias("frequent")))
+
+
+def same_rows(first: DataFrame, second: DataFrame) -> bool:
+    """SO-3: two result sets are equal as multisets (``exceptAll`` both ways)."""
+    return first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
+
+
+def contains(itemset, items):
+    """SO-4: ``itemset`` is a subset of ``items`` (array columns)."""
+    return F.size(F.array_except(itemset, items)) == 0
