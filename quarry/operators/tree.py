@@ -152,6 +152,34 @@ def numeric_candidates(frontier: DataFrame, bins: int) -> DataFrame:
         F.lit(None).cast("string").alias("category"))
 
 
+def approx_candidates(frontier: DataFrame, bins: int, accuracy: int = 10000) -> DataFrame:
+    """Named approximate mode of ``numeric_candidates``: thresholds from Spark's
+    ``percentile_approx`` sketch (partially aggregated, mergeable: no task ever sees a
+    whole node), then rows binned against them.  Not the reference's exact quantiles."""
+    stats = _value_stats(frontier)
+    binary = (stats.where((F.col("nonbin") == 0) & (F.col("value") == 0.0))
+              .select("node_id", "fidx", F.lit(0.5).alias("threshold"), F.col("cum").alias("lc"),
+                      F.col("cump").alias("lp"), "n", "p"))
+    long = frontier.select("node_id", F.posexplode("_x").alias("fidx", "value"))
+    probs = F.array(*[F.lit(q) for q in _quantile_probs(bins)])
+    sketch = (long.groupBy("node_id", "fidx")
+              .agg(F.array_sort(F.array_distinct(F.percentile_approx("value", probs, accuracy))).alias("thr")))
+    ordinary = stats.where(F.col("nonbin") > 0).join(F.broadcast(sketch), ["node_id", "fidx"])
+    binned = ordinary.withColumn("bin", F.size(F.filter("thr", lambda t: t < F.col("value"))))
+    hist = binned.groupBy("node_id", "fidx", "bin").agg(
+        F.sum("c").alias("bc"), F.sum("vp").alias("bp"), F.first("thr").alias("thr"),
+        F.first("n").alias("n"), F.first("p").alias("p"))
+    run = Window.partitionBy("node_id", "fidx").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    quant = (hist.withColumn("lc", F.sum("bc").over(run)).withColumn("lp", F.sum("bp").over(run))
+             .where(F.col("bin") < F.size("thr"))
+             .select("node_id", "fidx", F.element_at("thr", F.col("bin") + 1).alias("threshold"),
+                     "lc", "lp", "n", "p"))
+    return binary.unionByName(quant).select(
+        "node_id", F.col("fidx").cast("long").alias("feature_idx"), "threshold", "lc", "lp", "n", "p",
+        F.lit("num").alias("kind"), F.col("fidx").cast("int").alias("idx"),
+        F.lit(None).cast("string").alias("category"))
+
+
 def quantile_thresholds(frontier: DataFrame, bins: int) -> DataFrame:
     """(node_id, fidx, threshold): the distinct candidate thresholds (A-10)."""
     return (numeric_candidates(frontier, bins)
@@ -170,16 +198,19 @@ def category_candidates(frontier: DataFrame, nodes: DataFrame, encoder: Encoder)
                      "n", "p", F.lit("cat").alias("kind"), F.col("cidx").cast("int").alias("idx"), "category")
 
 
-def scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins) -> DataFrame:
+def scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles="exact") -> DataFrame:
     """All split candidates of the frontier nodes with ``score`` and ``valid``."""
-    cands = numeric_candidates(frontier, bins).unionByName(category_candidates(frontier, nodes, encoder))
+    if quantiles not in ("exact", "approx"):
+        raise ValueError("quantiles must be 'exact' or 'approx'")
+    numeric = numeric_candidates(frontier, bins) if quantiles == "exact" else approx_candidates(frontier, bins)
+    cands = numeric.unionByName(category_candidates(frontier, nodes, encoder))
     score = split_score(criterion, F.col("lc"), F.col("lp"), F.col("n"), F.col("p"))
     valid = (F.col("lc") >= min_leaf) & (F.col("n") - F.col("lc") >= min_leaf)
     return cands.withColumn("valid", valid).withColumn("score", score)
 
 
 def best_splits(frontier: DataFrame, nodes: DataFrame, encoder: Encoder, criterion: str,
-                min_leaf: int, bins: int) -> DataFrame:
+                min_leaf: int, bins: int, quantiles: str = "exact") -> DataFrame:
     """M-4 for every node of a level: (node_id, feature_idx, kind, idx, category, threshold, score).
 
     Candidates of a node (at most features x bins) are sorted by (feature, score desc,
@@ -188,7 +219,7 @@ def best_splits(frontier: DataFrame, nodes: DataFrame, encoder: Encoder, criteri
     maximum, later ones of the same feature can never replace, so this equals "best
     threshold per feature, then first-wins across features".
     """
-    cands = scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins).where("valid")
+    cands = scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles).where("valid")
     item = F.struct("feature_idx", (-F.col("score")).alias("neg"), "threshold", "score", "kind", "idx", "category")
     per_node = cands.groupBy("node_id").agg(F.array_sort(F.collect_list(item)).alias("cands"))
     fold = F.expr(f"aggregate(transform(cands, (x, i) -> named_struct('s', x.score, 'j', i)), "
@@ -203,8 +234,11 @@ def best_splits(frontier: DataFrame, nodes: DataFrame, encoder: Encoder, criteri
 
 
 def fit_tree(train: DataFrame, encoder: Encoder, label: str, criterion: str = "gini",
-             max_depth: int = 6, min_leaf: int = 120, bins: int = 32) -> TreeModel:
-    """M-5: grow the tree breadth first; returns the model (node table + splits)."""
+             max_depth: int = 6, min_leaf: int = 120, bins: int = 32, quantiles: str = "exact") -> TreeModel:
+    """M-5: grow the tree breadth first; returns the model (node table + splits).
+
+    ``quantiles='approx'`` switches thresholds to the sketch-based mode (named, never
+    silent) for features with very many distinct values per node."""
     if criterion not in CRITERIA:
         raise ValueError("criterion must be information_gain, gain_ratio or gini")
     spark = train.sparkSession
@@ -229,7 +263,7 @@ def fit_tree(train: DataFrame, encoder: Encoder, label: str, criterion: str = "g
                 break
             nodes = spark.createDataFrame(open_nodes, "node_id long, n long, p long")
             todo = frontier.join(F.broadcast(nodes.select("node_id")), "node_id", "left_semi")
-            found = best_splits(todo, nodes, encoder, criterion, min_leaf, bins).where(
+            found = best_splits(todo, nodes, encoder, criterion, min_leaf, bins, quantiles).where(
                 F.col("score") > MIN_SCORE).collect()
             if not found:
                 break

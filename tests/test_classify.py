@@ -104,3 +104,17 @@ def test_one_hot_vocabulary(spark):
     test = spark.createDataFrame([("a1", 0.0, "a"), ("q", 0.0, "?"), ("z", 0.0, "zzz")], "k string, x double, c string")
     hot = {(r.k, r.feature) for r in enc.coordinates(test, "k").where("feature != 'x'").collect()}
     assert hot == {("a1", "c=a"), ("q", "c=?")}
+
+
+def test_approx_quantile_mode_runs_and_matches_on_small_domain(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    xs = [float(v) for v in rng.integers(0, 12, 300)]
+    ys = [int(x > 5) for x in xs]
+    df = rows(spark, xs, ys)
+    enc = E.fit_encoder(df, ["x"], ["c"])
+    exact = T.fit_tree(df, enc, "y", "gini", max_depth=2, min_leaf=5)
+    approx = T.fit_tree(df, enc, "y", "gini", max_depth=2, min_leaf=5, quantiles="approx")
+    assert exact.splits[0]["threshold"] == approx.splits[0]["threshold"] == 5.0
+    with pytest.raises(ValueError):
+        T.fit_tree(df, enc, "y", "gini", quantiles="nope")
