@@ -142,22 +142,27 @@ def q_train_share_sweep(spark, folder):
 
 @lru_cache(maxsize=16)
 def _forest(spark, folder, trees):
+    """Quality (1 row) and top importances (15 rows) as small local frames; the fitted
+    model itself is released so repeated sweeps do not pile models up in the driver."""
     train, test = _train_test(spark, folder)
-    return RF.fit_forest(train, test, IN.NUMERIC, IN.CATEGORICAL, IN.LABEL, n_estimators=trees)
+    res = RF.fit_forest(train, test, IN.NUMERIC, IN.CATEGORICAL, IN.LABEL, n_estimators=trees)
+    quality = spark.createDataFrame(res.quality.collect(), res.quality.schema)
+    importances = spark.createDataFrame(res.importances.collect(), res.importances.schema)
+    return quality, importances
 
 
 def q_random_forest_quality(spark, folder):
-    return _forest(spark, folder, 100).quality
+    return _forest(spark, folder, 100)[0]
 
 
 def q_feature_importance(spark, folder):
-    return _forest(spark, folder, 100).importances
+    return _forest(spark, folder, 100)[1]
 
 
 def q_forest_size_sweep(spark, folder):
     out = None
     for trees in FOREST_SIZES:
-        row = _forest(spark, folder, trees).quality.select(F.lit(trees).alias("n_estimators"), "*")
+        row = _forest(spark, folder, trees)[0].select(F.lit(trees).alias("n_estimators"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -179,10 +179,10 @@ def q_clustering_sweep(spark, folder):
 
     def km(cell):
         level, k = cells[cell]
-        summary = PT.kmeans(frames[level], k, SEED, parallel=2)[2].first()
+        summary = PT.kmeans(frames[level], k, SEED, parallel=4)[2].first()
         return ("kmeans", level, k, changed[level], summary["error"], summary["objective"])
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=2) as pool:
         rows = list(pool.map(km, sorted(cells)))
     stacked = None
     for cell, (level, _) in cells.items():

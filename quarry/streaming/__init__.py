@@ -1,0 +1 @@
+"""Streaming: the reference has no streaming operators, so nothing is built here (see README)."""
