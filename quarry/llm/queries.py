@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, nbsvm, neardup, packing, rules, toxicity
+from quarry.llm import decontaminate, licenses, lines, nbsvm, neardup, packing, pii, rules, secrets, toxicity
 from quarry.sources.tables import table
 
 
@@ -13,6 +13,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark, folder):
+    return licenses.report(licenses.scan(table(spark, folder, "documents")))
+
+
 def op2_quality_rules(spark, folder):
     return rules.quality(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
@@ -28,6 +32,18 @@ def op4_toxicity(spark, folder):
     return toxicity.classify(docs.select("doc_id", "text"), labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_line_dedup(spark, folder):
+    done = lines.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    runs = F.array_join(F.transform("line_runs", lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string"))), ",")
+    return done.select("doc_id", F.size("line_runs").alias("n_runs"), runs.alias("runs"),
+                       F.length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("text_sha256"))
+
+
+def op6_secret_scan(spark, folder):
+    findings, _ = secrets.scan(table(spark, folder, "documents"))
+    return secrets.report(findings)
+
+
 def op7_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
@@ -36,16 +52,24 @@ def op8_near_duplicates(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_personal_data(spark, folder):
+    return pii.report(pii.scan(table(spark, folder, "documents")))
+
+
 def op10_decontamination(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_toxicity": op4_toxicity,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
