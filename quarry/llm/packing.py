@@ -6,8 +6,9 @@ them fill a sequence but for at most j - 1 tokens, so a sequence of a class take
 number of pieces and every worker fills its sequences without asking any other.
 
 What a worker cannot complete (fewer than j pieces of a class) is handed on with its ids:
-groups of ``merge`` workers complete those classes in a second pass, one task per (group,
-class), each of at most ``merge * j`` pieces.  What even a group cannot complete is laid
+groups of up to ``merge`` workers complete those classes in a second pass, one task per
+(group, class); a group has fewer workers for classes of short pieces, so that at most
+TEAM_PIECES pieces meet.  What even a group cannot complete is laid
 end to end and cut at powers of two, which need no padding.
 
 Every id of every text lands in exactly one piece; the id ``end_id`` follows each text.
@@ -39,6 +40,7 @@ from quarry.session import cut_lineage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY, END_ID, MERGE = 2048, 1, 64
+TEAM_PIECES = 8192  # pieces that meet in one task of the second pass (a worker leaves fewer than capacity // length)
 CACHE_WORDS = 800_000
 SLOT, SECOND, TEAM_SLOT = 1 << 32, 1 << 62, 1 << 20  # sequence numbers of a worker; of the second pass
 
@@ -220,7 +222,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     pieces = cut_lineage(map_texts(docs, _worker_kernel(tokenizer, capacity, end_id), _DDL))
     full = pieces.where(F.col("sequence_id").isNotNull()).select(*_OUT)
     rest = (pieces.where(F.col("sequence_id").isNull())
-            .withColumn("team", F.floor(F.col("worker") / merge))
+            .withColumn("team", F.floor(F.col("worker") / F.greatest(F.lit(1), F.least(F.lit(merge), F.floor(
+                F.lit(TEAM_PIECES / capacity) * F.col("length"))))))
             .groupBy("team", "length").applyInPandas(
                 _group_kernel(capacity), ", ".join(f"{c} long" for c in _OUT)))
     return full.unionByName(rest)
