@@ -53,7 +53,8 @@ def fit_forest(train: DataFrame, test: DataFrame, numeric, categorical, label: s
                                 # cached node ids: fewer tree traversals per pass for deep trees
                                 # (node-id cache checkpointed every 10 passes)
                                 cacheNodeIds=True, checkpointInterval=10)
-    data = spread(prep.transform(train).select("features", F.col(label).cast("double").alias(label)))
+    keyed = prep.transform(train.withColumn("_order", F.xxhash64(*train.columns)))
+    data = spread(keyed.select("features", F.col(label).cast("double").alias(label), "_order"), key="_order")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     model = rf.fit(data)
     data.unpersist()

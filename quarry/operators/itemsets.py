@@ -29,7 +29,7 @@ from quarry.session import cut_lineage
 def basket_count(baskets: DataFrame) -> int:
     n = baskets.count()
     if n == 0:
-        raise ValueError("Dataset contains no baskets.")
+        raise ValueError("there are no baskets to mine")
     return n
 
 
@@ -66,7 +66,8 @@ def frequent_itemsets(baskets: DataFrame, support, engine: str = "fpgrowth",
             baskets.select("items"))
         found = model.freqItemsets.select(F.array_sort("items").alias("items"),
                                           F.col("freq").alias("count"))
-        return _finish(found, n)
+        # the model's itemsets are a lazy result: written once, whatever reads them next
+        return cut_lineage(_finish(found, n))
     if engine == "levelwise":
         return _finish(_levelwise(baskets, m), n)
     raise ValueError("engine must be 'fpgrowth' or 'levelwise'")
@@ -117,6 +118,7 @@ def _levelwise(baskets: DataFrame, m: int) -> DataFrame:
                .select("basket_id", F.concat("items", F.array("item")).alias("items")))
         if k >= 3:
             ext = ext.join(candidates(level, k), "items", "left_semi")
+        ext = cut_lineage(ext)  # read for the counts and again for the occurrences
         counts = ext.groupBy("items").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") >= m)
         counts = cut_lineage(counts)
         found.append(counts)
@@ -160,16 +162,23 @@ def itemset_length_hist(itemsets: DataFrame) -> DataFrame:
 def exhaustive_itemsets(baskets: DataFrame, max_length: int | None = None) -> DataFrame:
     """A-6: count every non-empty sub-combination of every basket (verification path).
 
-    Each basket enumerates its own subsets (up to ``max_length`` items), so the work
-    per basket is bounded by its own size; counting is a map-side combined group-by.
+    Subsets grow one item per level, up to ``max_length`` (default: the longest basket),
+    each by the basket's larger items only, so a basket of any width can be read and a
+    level never holds more than its own subsets.  Each level is a written table.
     """
-    masks = F.expr("sequence(1L, shiftleft(1L, size(items)) - 1L)")
-    subsets = (baskets.where(F.size("items") > 0)
-               .select("items", F.explode(masks).alias("_mask"))
-               .select(F.expr("filter(items, (x, i) -> getbit(_mask, i) = 1)").alias("items")))
-    if max_length is not None:
-        subsets = subsets.where(F.size("items") <= max_length)
-    return subsets.groupBy("items").agg(F.count(F.lit(1)).alias("count"))
+    rows = baskets.where(F.size("items") > 0).select(F.array_sort("items").alias("basket"))
+    longest = rows.agg(F.max(F.size("basket"))).first()[0] or 0
+    level = rows.select("basket", F.posexplode("basket").alias("last", "item")).select(
+        "basket", "last", F.array("item").alias("items"))
+    found = None
+    for k in range(1, min(longest, max_length or longest) + 1):
+        level = cut_lineage(level)
+        counts = level.groupBy("items").agg(F.count(F.lit(1)).alias("count"))
+        found = counts if found is None else found.unionByName(counts)
+        later = F.expr("transform(sequence(last + 1, size(basket) - 1), i -> struct(i as last, basket[i] as item))")
+        level = (level.where(F.col("last") < F.size("basket") - 1).select("basket", "items", F.explode(later).alias("n"))
+                 .select("basket", F.col("n.last").alias("last"), F.concat("items", F.array("n.item")).alias("items")))
+    return found if found is not None else rows.select(F.col("basket").alias("items"), F.lit(0).cast("long").alias("count"))
 
 
 def order_itemsets(itemsets: DataFrame, order: str = "support") -> DataFrame:
@@ -183,14 +192,18 @@ def order_itemsets(itemsets: DataFrame, order: str = "support") -> DataFrame:
 def support_sweep(itemsets: DataFrame, n: int, thresholds) -> DataFrame:
     """X-1: mine once at the lowest threshold, then filter per threshold.
 
-    Returns (threshold, minimum_count, length, frequent) for every non-empty length.
+    Returns (threshold, minimum_count, total, length, frequent): one row per non-empty
+    length, and for a threshold that finds nothing one row with total 0 and no length.
     """
     spark = itemsets.sparkSession
     grid = spark.createDataFrame([(str(t), min_count(t, n)) for t in thresholds],
                                  "threshold string, minimum_count long")
     kept = itemsets.join(F.broadcast(grid), itemsets["count"] >= grid["minimum_count"])
-    return (kept.groupBy("threshold", "minimum_count", "length")
-            .agg(F.count(F.lit(1)).alias("frequent")))
+    by_length = kept.groupBy("threshold", "length").agg(F.count(F.lit(1)).alias("frequent"))
+    totals = by_length.groupBy("threshold").agg(F.sum("frequent").alias("total"))
+    return (grid.join(totals, "threshold", "left").join(by_length, "threshold", "left")
+            .select("threshold", "minimum_count", F.coalesce("total", F.lit(0)).alias("total"), "length",
+                    F.coalesce("frequent", F.lit(0)).alias("frequent")))
 
 
 def same_rows(first: DataFrame, second: DataFrame) -> bool:

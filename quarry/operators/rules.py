@@ -8,7 +8,9 @@ arithmetic, i.e. "not below the threshold".
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from fractions import Fraction
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.params import check_order, parse_share
@@ -24,7 +26,7 @@ def rule_text(antecedent, consequent):
 def candidate_rules(itemsets: DataFrame, max_total_length: int | None = None) -> DataFrame:
     """SO-2 + J-4: every (itemset, antecedent) with both counts, before the confidence filter."""
     if max_total_length is not None and max_total_length < 2:
-        raise ValueError("Maximum rule length must be at least 2.")
+        raise ValueError("a rule has two items or more: max_total_length must be at least 2")
     sets = itemsets.where(F.col("length") >= 2)
     if max_total_length is not None:
         sets = sets.where(F.col("length") <= max_total_length)
@@ -36,13 +38,26 @@ def candidate_rules(itemsets: DataFrame, max_total_length: int | None = None) ->
     return split.join(ante, "antecedent")
 
 
+def exact_ratio(confidence) -> tuple[int, int]:
+    """A confidence as a ratio of whole numbers below 10^18, so that products with counts
+    stay inside 38 digits."""
+    share = Fraction(parse_share(confidence))
+    if share.denominator > 10 ** 18:
+        raise ValueError("a confidence can have at most 18 decimals")
+    return share.numerator, share.denominator
+
+
+def _reaches(top: Column, bottom: Column) -> Column:
+    """count / antecedent_count >= top / bottom, without division."""
+    wide = "decimal(19,0)"
+    return (F.col("count").cast(wide) * bottom.cast(wide)) >= (F.col("antecedent_count").cast(wide) * top.cast(wide))
+
+
 def generate_rules(itemsets: DataFrame, confidence, max_total_length: int | None = None) -> DataFrame:
     """M-2: rules whose confidence is not below ``confidence`` (share or percent)."""
-    conf = parse_share(confidence)
+    top, bottom = exact_ratio(confidence)
     rules = candidate_rules(itemsets, max_total_length)
-    exact = (F.col("count").cast("decimal(20,0)")
-             >= F.col("antecedent_count").cast("decimal(20,0)") * F.lit(conf))
-    return (rules.where(exact)
+    return (rules.where(_reaches(F.lit(top), F.lit(bottom)))
             .select("antecedent", "consequent",
                     rule_text(F.col("antecedent"), F.col("consequent")).alias("rule"),
                     F.col("length").alias("total_length"), "count", "support",
@@ -83,11 +98,9 @@ def rule_count_by_confidence(itemsets: DataFrame, thresholds, max_total_length:
     candidate is counted under every threshold it passes.
     """
     spark = itemsets.sparkSession
-    grid = spark.createDataFrame([(str(t), parse_share(t)) for t in thresholds],
-                                 "confidence string, share decimal(20,10)")
+    grid = spark.createDataFrame([(str(t), *exact_ratio(t)) for t in thresholds],
+                                 "confidence string, top long, bottom long")
     rules = candidate_rules(itemsets, max_total_length)
-    passed = rules.join(F.broadcast(grid),
-                        rules["count"].cast("decimal(20,0)")
-                        >= rules["antecedent_count"].cast("decimal(20,0)") * grid["share"], "inner")
+    passed = rules.join(F.broadcast(grid), _reaches(F.col("top"), F.col("bottom")), "inner")
     counted = passed.groupBy("confidence").agg(F.count(F.lit(1)).alias("rules"))
     return grid.select("confidence").join(counted, "confidence", "left").fillna(0, ["rules"])

@@ -34,9 +34,20 @@ def hash_value(hex_hash: Column) -> Column:
 
 
 def _bucket_bits(n: int) -> int:
+    """Only how finely the hashes are counted depends on the table's size: the rows chosen are
+    the same for any number of buckets."""
     return int(min(20, max(6, math.ceil(math.log2(max(n, 1) / 2048.0)))))
 
 
+def _same_groups(left: DataFrame, right: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
+    """Join on the group columns, NULL being a group like any other."""
+    renamed = right.select(*[F.col(c).alias(f"_g_{c}") if c in groups else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in groups:
+        same = same & left[c].eqNullSafe(F.col(f"_g_{c}"))
+    return left.join(renamed, same, how).drop(*[f"_g_{c}" for c in groups])
+
+
 def choose_first(frame: DataFrame, key: str, groups: list[str], quotas: DataFrame,
                  seed: int, flag: str = "chosen") -> DataFrame:
     """Flag the ``quota`` rows with the smallest ``md5(seed:key)`` in every group.
@@ -52,13 +63,13 @@ def choose_first(frame: DataFrame, key: str, groups: list[str], quotas: DataFram
     counts = rows.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.withColumn("_cum", F.sum("_cnt").over(running))
-    counts = counts.join(F.broadcast(quotas), groups)
+    counts = _same_groups(counts, F.broadcast(quotas), groups)
     boundary = (counts.where((F.col("_cum") >= F.col("quota")) & (F.col("_cum") - F.col("_cnt") < F.col("quota")))
                 .select(*groups, F.col("_bucket").alias("_edge"), (F.col("_cum") - F.col("_cnt")).alias("_before")))
-    edges = quotas.join(boundary, groups, "left").select(
+    edges = _same_groups(quotas, boundary, groups, "left").select(
         *groups, "quota", F.coalesce("_edge", F.lit(-1)).alias("_edge"),
         F.coalesce("_before", F.lit(0)).alias("_before"))
-    rows = rows.join(F.broadcast(edges), groups)
+    rows = _same_groups(rows, F.broadcast(edges), groups)
     clear = (rows.where(F.col("_bucket") != F.col("_edge"))
              .withColumn(flag, F.col("_bucket") < F.col("_edge")))
     within = Window.partitionBy(*groups, "_bucket").orderBy("_h", "_hx", key)
@@ -70,12 +81,12 @@ def choose_first(frame: DataFrame, key: str, groups: list[str], quotas: DataFram
 
 def largest_remainder(counts: dict, total: int) -> dict:
     """Split ``total`` over classes proportionally: floors, then the largest remainders
-    (ties to the smaller class value)."""
+    (ties to the smaller class value, NULL last)."""
     n = sum(counts.values())
     exact = {c: v / n * total for c, v in counts.items()}
     quota = {c: math.floor(x) for c, x in exact.items()}
     left = total - sum(quota.values())
-    for c in sorted(exact, key=lambda c: (-(exact[c] - quota[c]), c))[:left]:
+    for c in sorted(exact, key=lambda c: (-(exact[c] - quota[c]), c is None, c if c is not None else 0))[:left]:
         quota[c] += 1
     return quota
 

@@ -228,8 +228,10 @@ _POINTS = """per AS (SELECT o_custkey, count(*)::DOUBLE AS orders, sum(o_totalpr
                    avg(o_totalprice) AS average, max(o_totalprice) AS largest, min(o_totalprice) AS smallest,
                    count(DISTINCT o_orderpriority)::DOUBLE AS priorities
             FROM orders GROUP BY o_custkey),
-pts AS (SELECT c_custkey AS id, c_acctbal::DOUBLE AS acctbal, orders, total, average, largest, smallest, priorities
-        FROM customer JOIN per ON c_custkey = o_custkey),
+pts AS (SELECT c_custkey AS id, c_acctbal::DOUBLE AS acctbal, coalesce(orders, 0) AS orders, coalesce(total, 0) AS total,
+               coalesce(average, 0) AS average, coalesce(largest, 0) AS largest, coalesce(smallest, 0) AS smallest,
+               coalesce(priorities, 0) AS priorities
+        FROM customer LEFT JOIN per ON c_custkey = o_custkey),
 lng AS (SELECT id, 0 AS j, 'acctbal' AS feature, acctbal AS x FROM pts UNION ALL
         SELECT id, 1, 'orders', orders FROM pts UNION ALL
         SELECT id, 2, 'total', total FROM pts UNION ALL

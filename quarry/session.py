@@ -77,8 +77,8 @@ def cut_lineage(df):
     return spark.read.parquet(path)
 
 
-def spread(df):
-    """At least ``defaultParallelism`` partitions before an iterative MLlib fit (AQE may
-    have coalesced a small input into one partition); a no-op for large inputs."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def spread(df, partitions: int = 16, key: str = "id"):
+    """A fixed number of partitions with a fixed row order, for MLlib fits that draw per
+    partition: the fit then depends on the data and ``partitions`` only, not on the cluster
+    or on how the input happened to be split."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)

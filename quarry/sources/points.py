@@ -1,6 +1,6 @@
 """Point sets (D11): ``id LONG`` + ``features ARRAY<DOUBLE>`` (+ named columns).
 
-* ``customer_points``: 7 attributes per customer from customer x orders (account
+* ``customer_points``: 7 attributes per customer (0 where it has no orders) from customer x orders (account
   balance, order count, total / average / largest / smallest order value, distinct
   order priorities) -- the driver-table stand-in for the reference's customer file;
 * ``embedding_points``: the embeddings table with its truth label;
@@ -26,7 +26,8 @@ def customer_points(spark: SparkSession, folder: str) -> DataFrame:
         F.countDistinct("o_orderpriority").cast("double").alias("priorities"))
     cust = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"),
                                                   F.col("c_acctbal").cast("double").alias("acctbal"))
-    pts = cust.join(per, cust["id"] == per["o_custkey"]).drop("o_custkey")
+    # a customer without orders is a point too: no orders, every order value 0
+    pts = cust.join(per, cust["id"] == per["o_custkey"], "left").drop("o_custkey").fillna(0.0, list(CUSTOMER_FEATURES[1:]))
     return pts.select("id", *CUSTOMER_FEATURES,
                       F.array(*[F.col(c) for c in CUSTOMER_FEATURES]).alias("features"))
 
@@ -46,10 +47,21 @@ def read_points(spark: SparkSession, path: str, id_col: str, columns) -> DataFra
     if missing:
         raise ValueError(f"missing columns: {missing}")
     vals = raw.select(F.col(id_col).alias("id"), *[F.expr(f"try_cast(`{c}` as double)").alias(c) for c in columns])
-    bad = vals.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-                                                  .alias(c) for c in columns]).first()
+    check_finite(vals.withColumn("features", F.array(*[F.col(c) for c in columns])))
+    return vals.withColumn("features", F.array(*[F.col(c) for c in columns]))
+
+
+def check_finite(points: DataFrame, dims: int | None = None) -> DataFrame:
+    """PF-3: ``points`` if it has rows and every feature is a finite number (and every
+    point has ``dims`` of them, if given), checked with one aggregate; else ValueError."""
+    bad = points.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("features")).alias("least"), F.max(F.size("features")).alias("most"),
+        F.count_if(F.col("features").isNull() | F.exists(
+            "features", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))).alias("odd")).first()
     if bad["n"] == 0:
         raise ValueError("dataset is empty")
-    if any(bad[c] for c in columns):
+    if bad["odd"]:
         raise ValueError("features must be finite numbers")
-    return vals.withColumn("features", F.array(*[F.col(c) for c in columns]))
+    if bad["least"] != bad["most"] or dims not in (None, bad["least"]):
+        raise ValueError("points must have the same number of features")
+    return points
