@@ -3,9 +3,8 @@
 1. One pass over the texts: the set of word shingles of each document (64-bit hashes), its
    MinHash signature, the keys of its bands and a 128-bit digest of the set.  Documents with
    one digest are one *class* (exact copies of the set); its smallest id stands for it.
-2. Classes that share a band key are candidates.  No bucket is turned into all its pairs:
-   each round links its members to one leader, and later rounds only look at buckets whose
-   members are not yet in one component (`_rounds`).
+2. Classes that share a band key are candidates.  No bucket is turned into all its pairs
+   while those are many: see `_links`.
 3. A candidate's signatures are compared batch by batch.  After each batch the posterior
    of the Jaccard similarity given the matches so far (uniform prior) decides: if the
    probability that it reaches the threshold is below ``miss``, the pair is dropped.
@@ -17,8 +16,9 @@ At similarity 0.8 a pair shares none of the 40 bands of 7 values with probabilit
 
 Defined cases: a null text, or one without words, has the empty set, links with nothing and
 is its own component; with fewer words than a shingle the whole sequence is the one
-shingle; repeated ids count as one document (its sets united); rows without an id are
-left out; an empty table gives an empty result.
+shingle; rows that repeat an id are one document (their sets united) but are each reported
+with their own ``n_shingles``; rows without an id are left out; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import batch_of, map_texts, text_rows
@@ -114,17 +114,21 @@ def _sketch_kernel(batches):
             values = signature(grams) if some else None
             rows["digest"].append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if some else None)
             rows["bands"].append(band_keys(values) if some else None)
-            # 16 bits of each value are enough to compare with (a chance match in 65536)
-            rows["signature"].append(values.astype("<u2").tobytes() if some else None)
+            # 8 bits of each value to compare with: a chance match in 256 only keeps a pair longer
+            rows["signature"].append(values.astype(np.uint8).tobytes() if some else None)
         yield batch_of(_SCHEMA, rows)
 
 
-_SETS = pa.schema([("id", pa.int64()), ("grams", pa.binary())])
+_SETS = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
 
 def _sets_kernel(batches):
-    for keys, texts in text_rows(batches, "id", "text", 256):
-        yield batch_of(_SETS, {"id": keys, "grams": [shingles(t).tobytes() for t in texts]})
+    for batch in batches:
+        for start in range(0, batch.num_rows, 64):
+            part = batch.slice(start, 64)
+            grams = [shingles(t[0]) if len(t) == 1 else np.unique(np.concatenate([shingles(x) for x in t]))
+                     for t in part.column("texts").to_pylist()]
+            yield batch_of(_SETS, {"id": part.column("id").to_pylist(), "grams": [g.view(np.int64) for g in grams]})
 
 
 @lru_cache
@@ -149,7 +153,7 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> list[tuple[int,
 
 def survives(a: bytes, b: bytes, needed=None) -> bool:
     """Sequential test of two signatures."""
-    same = np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")
+    same = np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)
     at = matches = 0
     for n, least in needed or least_matches():
         matches += int(same[at:n].sum())
@@ -167,24 +171,6 @@ def _test_kernel(batches):
                                          names=["a", "b"])
 
 
-def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
-    """100 * |A n B| >= percent * |A u B| on full sets."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
-
-
-def _verify_kernel(batches):
-    for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            part = batch.slice(start, 64)
-            keep = pa.array([similar(x, y) for x, y in zip(part.column("ga").to_pylist(), part.column("gb").to_pylist(),
-                                                           strict=True)])
-            yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
-
-
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of the ids in ``links(a, b)``: component is the smallest id reachable.
 
@@ -206,77 +192,88 @@ def components(links: DataFrame) -> DataFrame:
         label = after.select("id", "label")
 
 
-def _checked(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose signatures survive and whose full sets are similar."""
-    sig = sketches.select("id", "signature")
-    tested = cut_lineage(
-        pairs.join(sig.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(sig.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b")
-        .select("a", "b", "sa", "sb").mapInArrow(_test_kernel, "a long, b long"))
-    needed = tested.select(F.col("a").alias("id")).union(tested.select(F.col("b").alias("id"))).distinct()
-    sets = cut_lineage(texts.join(needed, "id", "left_semi").select("id", "text").mapInArrow(_sets_kernel, "id long, grams binary")
-                       .groupBy("id").agg(F.max("grams").alias("grams")))
+def _checked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs whose signatures survive and whose full sets are similar:
+    100 * |A n B| >= percent * |A u B|."""
+    def side(table, value, end):
+        return table.select(F.col("id").alias(end), F.col(value).alias(f"_{end}"))
+
+    tested = cut_lineage(pairs.join(side(signatures, "signature", "a"), "a").join(side(signatures, "signature", "b"), "b")
+                         .select("a", "b", F.col("_a").alias("sa"), F.col("_b").alias("sb")).mapInArrow(_test_kernel, "a long, b long"))
+    both = F.size(F.array_intersect("_a", "_b"))
+    close = 100 * F.least(F.size("_a"), F.size("_b")) >= percent * F.greatest(F.size("_a"), F.size("_b"))
     return cut_lineage(
-        tested.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
-        .select("a", "b", "ga", "gb").mapInArrow(_verify_kernel, "a long, b long"))
+        tested.join(side(sets, "grams", "a"), "a").join(side(sets, "grams", "b"), "b")
+        .where(close & (100 * both >= percent * (F.size("_a") + F.size("_b") - both))).select("a", "b"))
 
 
-def _rounds(bands: DataFrame, sketches: DataFrame, texts: DataFrame, stars: int):
-    """All links between classes that decide about components.
+def _links(bands: DataFrame, signatures: DataFrame, sets: DataFrame, rounds: int) -> DataFrame | None:
+    """Verified links that decide about all components.
 
-    Star rounds: in every bucket the members outside the component of its leader (first
-    its smallest id, then the smallest id not yet with it) are compared with the leader.
-    Last round: what is left are members of different components; they are compared with
-    each other, and in all but crafted data these are few.
+    A bucket's members that are in one component need no more comparing.  While the pairs
+    between components outnumber half the bucket rows, each bucket has one leader per round
+    (another one each time) which meets the members outside its component, so a round never
+    makes more pairs than there are bucket rows.  When few pairs are left, or after
+    ``rounds`` rounds, all of them are compared: no pair that shares a band goes untested
+    unless its ends are already connected.
     """
-    links, labels = None, None
-    for turn in range(stars + 1):
-        if labels is None:
-            rows = bands.withColumn("label", F.col("id"))
-        else:
-            rows = bands.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-        # buckets whose members are in more than one component
-        mixed = rows.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                         F.min(F.struct("label", "id")).alias("lead"))
-        mixed = mixed.where("low < high")
-        rows = cut_lineage(rows.join(mixed.select("band", F.col("lead.label").alias("lead_label"), F.col("lead.id").alias("lead")),
-                                     "band"))
-        if rows.isEmpty():
+    links = tested = labels = None
+    for turn in range(rounds + 1):
+        rows = bands.withColumn("label", F.col("id")) if labels is None else bands.join(
+            labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("label"))
+        per_label = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+        mixed = per_label.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")) \
+            .withColumn("across", (F.col("n") * F.col("n") - F.col("same")) / 2).where("across > 0")
+        rows = cut_lineage(rows.join(mixed.select("band"), "band"))
+        bands = rows.select("band", "id")  # a bucket in one component stays so
+        size = rows.count()
+        across = mixed.agg(F.sum("across")).first()[0] or 0
+        if not size:
             break
-        if turn < stars:
-            # a leader per (bucket, turn): the smallest id of its lowest component
-            pairs = rows.where(F.col("label") != F.col("lead_label")).select(
-                F.least("lead", "id").alias("a"), F.greatest("lead", "id").alias("b"))
-            bands = rows.select("band", "id")
+        last = across <= size / 2 or turn == rounds
+        if last:
+            x, y = rows.alias("x"), rows.alias("y")
+            pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) &
+                           (F.col("x.label") != F.col("y.label"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         else:
-            other = rows.where(F.col("label") != F.col("lead_label"))
-            x, y = other.alias("x"), rows.alias("y")
-            pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label"))).select(
-                F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        found = _checked(pairs.distinct(), sketches, texts)
+            lead = rows.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "label")).alias("l"))
+            pairs = rows.join(lead, "band").where(F.col("label") != F.col("l.label")).select(
+                F.least("id", F.col("l.id")).alias("a"), F.greatest("id", F.col("l.id")).alias("b"))
+        pairs = pairs.distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        found = _checked(pairs, signatures, sets)
         links = found if links is None else links.unionByName(found)
-        if turn < stars:
-            labels = components(links)
+        if last:
+            break
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        labels = components(links)
     return links
 
 
-def near_duplicates(docs: DataFrame, stars: int = 1) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per distinct document id."""
+def near_duplicates(docs: DataFrame, rounds: int = 16) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per document row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where(F.col("doc_id").isNotNull())
     sketches = cut_lineage(map_texts(docs, _sketch_kernel, _DDL))
     classes = cut_lineage(sketches.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id")))
-    own = (sketches.join(classes, (F.col("doc_id") == F.col("id")) & (sketches["digest"] == classes["digest"]), "left_semi")
+    # the merge hints: these sides grow with the corpus and are never broadcast
+    own = (sketches.join(classes.hint("merge"), (F.col("doc_id") == F.col("id")) & (sketches["digest"] == classes["digest"]), "left_semi")
            .select(F.col("doc_id").alias("id"), "bands", "signature"))
     bands = own.select("id", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    bands = cut_lineage(bands.join(shared, "band"))
-    links = _rounds(bands, own, docs.withColumnRenamed("doc_id", "id"), stars)
+    shared = bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("band")
+    bands = cut_lineage(bands.join(shared.hint("merge"), "band").distinct())
+    alike = cut_lineage(bands.select("id").distinct())
+    signatures = cut_lineage(own.join(alike.hint("merge"), "id", "left_semi").select("id", "signature").dropDuplicates(["id"]))
+    sets = cut_lineage(docs.withColumnRenamed("doc_id", "id").join(alike.hint("merge"), "id", "left_semi")
+                       .groupBy("id").agg(F.collect_list(F.coalesce("text", F.lit(""))).alias("texts"))
+                       .mapInArrow(_sets_kernel, "id long, grams array<bigint>"))
+    links = _links(bands, signatures, sets, rounds)
     with_class = sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    if links is not None:
-        with_class = with_class.join(components(links), "id", "left")
-    else:
+    if links is None:
         with_class = with_class.withColumn("component", F.lit(None).cast("long"))
+    else:
+        with_class = with_class.join(components(links), "id", "left")
     return with_class.select("doc_id", "n_shingles", F.coalesce("component", "id", "doc_id").alias("component_id")) \
         .withColumn("kept", F.col("doc_id") == F.col("component_id"))
