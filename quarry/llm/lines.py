@@ -40,14 +40,17 @@ def cut(text: Column, fold: str = FOLD) -> Column:
     return F.split(F.coalesce(text, F.lit("")), fold, -1)
 
 
-def _next(values: Column, by: int) -> Column:
-    return F.slice(values, F.lit(by + 1), F.greatest(F.size(values) - by, F.lit(0)))
+def _pairs(a: Column, b: Column, shift: int, size: Column, step) -> Column:
+    """step(a[i], b[i + shift]) for the first ``size`` places."""
+    size = F.greatest(size, F.lit(0))
+    return F.zip_with(F.slice(a, F.lit(1), size), F.slice(b, F.lit(shift + 1), size), step)
 
 
-def _pairwise(a: Column, b: Column, step) -> Column:
-    """``step`` of the neighbours in two arrays, as far as the shorter goes."""
-    size = F.least(F.size(a), F.size(b))
-    return F.zip_with(F.slice(a, F.lit(1), size), F.slice(b, F.lit(1), size), step)
+def _part(values: Column, first: Column, end: Column) -> Column:
+    """values[first .. end - 1] (places from 1).  Unlike ``slice``, which copies the whole array
+    each time, this only touches the part."""
+    return F.when(end > first, F.transform(F.sequence(first, F.greatest(end - 1, first)), lambda i: F.element_at(values, i))) \
+        .otherwise(F.slice(F.array(F.element_at(values, 1)), 1, 0))
 
 
 def fingerprints(docs: DataFrame, fold: str = FOLD) -> DataFrame:
@@ -55,18 +58,20 @@ def fingerprints(docs: DataFrame, fold: str = FOLD) -> DataFrame:
     windows that it guards, the first of which begins at line ``start``."""
     hashed = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.transform(
         cut(F.col("text"), fold), lambda u: F.xxhash64(F.rtrim(u, F.lit(" \n\t\r")))).alias("h"))
-    pairs = hashed.select("doc_id", "h", _pairwise(F.col("h"), _next(F.col("h"), 1), lambda a, b: F.xxhash64(a, b)).alias("g"))
-    least = pairs.select("doc_id", "h", "g", _pairwise(F.col("g"), _next(F.col("g"), 1), lambda a, b: F.least(a, b)).alias("m"))
-    # RUN = 5 lines hold 4 pairs: the guard is the least of them, the window hash covers 2 + 2 + 1 lines
-    rows = least.select(
-        "doc_id", _pairwise(F.col("m"), _next(F.col("m"), 2), lambda a, b: F.least(a, b)).alias("m"),
-        _pairwise(_pairwise(F.col("g"), _next(F.col("g"), 2), lambda a, b: F.xxhash64(a, b)), _next(F.col("h"), 4),
-                  lambda a, b: F.hash(a, b)).alias("w")).where(F.size("m") > 0)
-    first = rows.select("doc_id", "m", "w", F.filter(
-        F.sequence(F.lit(1), F.size("m")),
-        lambda i: (i == 1) | (F.element_at("m", i) != F.element_at("m", F.greatest(i - 1, F.lit(1))))).alias("s"))
-    some = first.select("doc_id", F.explode(F.zip_with("s", F.concat(_next(F.col("s"), 1), F.array(F.size("m") + 1)), lambda a, b: F.struct(
-        F.element_at("m", a).alias("print"), (a - 1).alias("start"), F.slice("w", a, b - a).alias("windows")))).alias("x"))
+    # RUN = 5 lines hold 4 neighbouring pairs g: m is the least of them, w covers 2 + 2 + 1 lines
+    pairs = hashed.select("doc_id", "h", _pairs(F.col("h"), F.col("h"), 1, F.size("h") - 1, lambda a, b: F.xxhash64(a, b)).alias("g"))
+    halves = pairs.select("doc_id", "h", _pairs(F.col("g"), F.col("g"), 1, F.size("g") - 1, lambda a, b: F.least(a, b)).alias("m2"),
+                          _pairs(F.col("g"), F.col("g"), 2, F.size("g") - 2, lambda a, b: F.xxhash64(a, b)).alias("w2"))
+    rows = halves.select("doc_id", _pairs(F.col("m2"), F.col("m2"), 2, F.size("m2") - 2, lambda a, b: F.least(a, b)).alias("m"),
+                         _pairs(F.col("w2"), F.col("h"), 4, F.size("h") - 4, lambda a, b: F.hash(a, b)).alias("w"))
+    # a fingerprint guards the windows from one change of the least pair to the next (no rows
+    # are filtered here: a filter would move down to the scan with all these expressions)
+    first = rows.select("doc_id", "m", "w", F.when(F.size("m") > 0, F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size("m"), F.lit(1))),
+        lambda i: (i == 1) | (F.element_at("m", i) != F.element_at("m", F.greatest(i - 1, F.lit(1)))))).alias("s"))
+    some = first.select("doc_id", F.explode(F.zip_with(
+        "s", F.concat(F.slice("s", F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))), F.array(F.size("m") + 1)), lambda a, b: F.struct(
+            F.element_at("m", a).alias("print"), (a - 1).alias("start"), _part(F.col("w"), a, b).alias("windows")))).alias("x"))
     return some.select("doc_id", "x.*")
 
 
@@ -115,11 +120,11 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, fold: str = FOLD) -> Data
 
     ranged = lined.select(*columns, "text", "_lines", F.when(F.col("_starts").isNotNull(), runs(F.col("_starts"))).alias("_runs"))
     counted = ranged.select(*columns, "text", "_lines", F.filter("_runs", lambda r: F.aggregate(
-        F.slice("_lines", r["start"] + 1, r["end"] - r["start"]), F.lit(0), lambda n, u: n + words(u)) >= min_words).alias("line_runs"))
+        _part(F.col("_lines"), r["start"] + 1, r["end"] + 1), F.lit(0), lambda n, u: n + words(u)) >= min_words).alias("line_runs"))
     # the kept parts lie between the deleted runs
     begins = F.concat(F.array(F.lit(0)), F.transform("line_runs", lambda r: r["end"]))
     ends = F.concat(F.transform("line_runs", lambda r: r["start"]), F.array(F.size("_lines")))
-    kept = F.array_join(F.zip_with(begins, ends, lambda a, b: F.array_join(F.slice("_lines", a + 1, F.greatest(b - a, F.lit(0))), "")), "")
+    kept = F.array_join(F.zip_with(begins, ends, lambda a, b: F.array_join(_part(F.col("_lines"), a + 1, b + 1), "")), "")
     cut_text = F.when(F.coalesce(F.size("line_runs"), F.lit(0)) > 0, kept).otherwise(F.col("text"))
     return counted.select(*[cut_text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
                           F.coalesce("line_runs", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias("line_runs"))
