@@ -29,6 +29,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.running import running_totals
+from quarry.session import cut_lineage
 from quarry.functions.impurity import CRITERIA, split_score
 from quarry.operators.encode import Encoder
 
@@ -104,12 +106,11 @@ def _value_stats(frontier: DataFrame) -> DataFrame:
     long = frontier.select("node_id", "_y", F.posexplode("_x").alias("fidx", "value"))
     vals = long.groupBy("node_id", "fidx", "value").agg(F.count(F.lit(1)).alias("c"),
                                                         F.sum("_y").alias("vp"))
-    grp = Window.partitionBy("node_id", "fidx")
-    run = grp.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    stats = (vals.withColumn("cum", F.sum("c").over(run)).withColumn("cump", F.sum("vp").over(run))
-             .withColumn("n", F.sum("c").over(grp)).withColumn("p", F.sum("vp").over(grp))
-             .withColumn("lo", F.min("value").over(grp)).withColumn("hi", F.max("value").over(grp))
-             .withColumn("nonbin", F.sum(F.when(~F.col("value").isin(0.0, 1.0), 1).otherwise(0)).over(grp)))
+    vals = cut_lineage(vals)  # read for the totals and again for the running counts
+    totals = vals.groupBy("node_id", "fidx").agg(
+        F.sum("c").alias("n"), F.sum("vp").alias("p"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.sum(F.when(~F.col("value").isin(0.0, 1.0), 1).otherwise(0)).alias("nonbin"))
+    stats = running_totals(vals, ["node_id", "fidx"], "value", {"c": "cum", "vp": "cump"}).join(totals, ["node_id", "fidx"])
     return stats.where(F.col("lo") < F.col("hi"))
 
 
@@ -213,21 +214,22 @@ def best_splits(frontier: DataFrame, nodes: DataFrame, encoder: Encoder, criteri
                 min_leaf: int, bins: int, quantiles: str = "exact") -> DataFrame:
     """M-4 for every node of a level: (node_id, feature_idx, kind, idx, category, threshold, score).
 
-    Candidates of a node (at most features x bins) are sorted by (feature, score desc,
-    threshold) and folded left: a candidate replaces the best only when its score is
-    larger by more than 1e-12.  The first candidate of each feature is its first
-    maximum, later ones of the same feature can never replace, so this equals "best
-    threshold per feature, then first-wins across features".
+    Each feature's first maximum (highest score, then lowest threshold) is found by a map-side
+    combined minimum; a node's features are then folded in order, a feature replacing the
+    best only when its score is larger by more than 1e-12.  A best score of MIN_SCORE or less
+    is no split.
     """
     cands = scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles).where("valid")
     item = F.struct("feature_idx", (-F.col("score")).alias("neg"), "threshold", "score", "kind", "idx", "category")
-    per_node = cands.groupBy("node_id").agg(F.array_sort(F.collect_list(item)).alias("cands"))
+    # a feature's first maximum is all that can win: one row per (node, feature) is gathered
+    per_feature = cands.groupBy("node_id", "feature_idx").agg(F.min(item).alias("best"))
+    per_node = per_feature.groupBy("node_id").agg(F.array_sort(F.collect_list("best")).alias("cands"))
     fold = F.expr(f"aggregate(transform(cands, (x, i) -> named_struct('s', x.score, 'j', i)), "
                   f"named_struct('s', 0.0D, 'j', -1), "
                   f"(acc, x) -> if(x.s > acc.s + {MARGIN!r}D, x, acc))")
     chosen = per_node.select("node_id", "cands", fold.alias("best"))
     best = F.element_at("cands", F.col("best.j") + 1)
-    return chosen.where(F.col("best.j") >= 0).select(
+    return chosen.where((F.col("best.j") >= 0) & (F.col("best.s") > MIN_SCORE)).select(
         "node_id", best["feature_idx"].alias("feature_idx"), best["kind"].alias("kind"),
         best["idx"].alias("idx"), best["category"].alias("category"),
         best["threshold"].alias("threshold"), best["score"].alias("score"))
@@ -263,8 +265,7 @@ def fit_tree(train: DataFrame, encoder: Encoder, label: str, criterion: str = "g
                 break
             nodes = spark.createDataFrame(open_nodes, "node_id long, n long, p long")
             todo = frontier.join(F.broadcast(nodes.select("node_id")), "node_id", "left_semi")
-            found = best_splits(todo, nodes, encoder, criterion, min_leaf, bins, quantiles).where(
-                F.col("score") > MIN_SCORE).collect()
+            found = best_splits(todo, nodes, encoder, criterion, min_leaf, bins, quantiles).collect()
             if not found:
                 break
             by_id = {n["node_id"]: n for n in model.nodes}

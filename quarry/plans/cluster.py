@@ -8,20 +8,21 @@ force.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
+from quarry.functions.vectors import euclidean
 from quarry.operators import evaluate as EV
 from quarry.operators import linkage as LK
 from quarry.operators import partition as PT
 from quarry.operators import scale as SC
+from quarry.session import cut_lineage
 from quarry.sources.points import CUSTOMER_FEATURES, customer_points, embedding_points
 from quarry.sources.tables import table
 
 DIMS = len(CUSTOMER_FEATURES)
 SEED = 42
 K = 5
+# The published grid of the sweeps.
 NOISE = (0.0, 0.01, 0.03, 0.05, 0.10)
 KS = tuple(range(3, 10))
 
@@ -55,12 +56,10 @@ def q_pca2(spark, folder):
     return SC.project_pca2(pts, SC.fit_pca2(pts))
 
 
-@lru_cache(maxsize=8)
 def _kmeans(spark, folder, k=K):
     return PT.kmeans(_scaled(spark, folder), k, SEED)
 
 
-@lru_cache(maxsize=8)
 def _kmedoids(spark, folder, k=K):
     return PT.kmedoids(_scaled(spark, folder), k, SEED)
 
@@ -110,9 +109,8 @@ def q_group_spread(spark, folder):
     return out.select("event_type", "n", F.round("median", 9).alias("median"), "minimum", "maximum")
 
 
-@lru_cache(maxsize=8)
 def _tree(spark, folder, method):
-    return LK.fit_hierarchy(_scaled(spark, folder).select("id", "features"), method)
+    return LK.fit_hierarchy(cut_lineage(_scaled(spark, folder).select("id", "features")), method)
 
 
 def _linkage(method):
@@ -144,56 +142,55 @@ def q_baseline_errors(spark, folder):
     return rows
 
 
+def _keyed_errors(labelled):
+    """Mean distance to the cluster centroid per ``key``, for many partitions at once."""
+    long = labelled.select("key", "cluster", F.posexplode("features").alias("j", "x"))
+    means = long.groupBy("key", "cluster", "j").agg(F.avg("x").alias("m")).groupBy("key", "cluster").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("j", "m"))), lambda s: s["m"]).alias("rep"))
+    return labelled.join(means, ["key", "cluster"]).groupBy("key").agg(
+        F.avg(euclidean(F.col("features"), F.col("rep"))).alias("error"))
+
+
 def q_linkage_sweep(spark, folder):
-    pts = _scaled(spark, folder).select("id", "features")
+    """X-7: every linkage cut at every k; all cuts are measured in one aggregate."""
+    pts = cut_lineage(_scaled(spark, folder).select("id", "features"))
     n = pts.count()
-    base_km = _kmeans(spark, folder)[0]
-    base_kmed = _kmedoids(spark, folder)[0].select("id", "cluster")
-    rows = []
+    base = {"kmeans": _kmeans(spark, folder)[0], "kmedoids": _kmedoids(spark, folder)[0].select("id", "cluster")}
+    base = {name: cut_lineage(frame) for name, frame in base.items()}
+    stacked, at_k = None, {}
     for method in LK.METHODS:
-        cuts = LK.cut_many(pts.select("id"), _tree(spark, folder, method), KS, n)
+        cuts = LK.cut_many(pts.select("id"), LK.fit_hierarchy(pts, method), KS, n)
+        at_k[method] = cut_lineage(cuts[K])
         for k in KS:
-            labelled = pts.join(cuts[k], "id")
-            err = EV.mean_centroid_error(labelled).first()["error"]
-            sil = ari_km = ari_kmed = None
-            if k == K:
-                sil = EV.silhouette(labelled).first()["silhouette"]
-                ari_km = EV.adjusted_rand(base_km, cuts[k]).first()["ari"]
-                ari_kmed = EV.adjusted_rand(base_kmed, cuts[k]).first()["ari"]
-            rows.append((method, k, err, sil, ari_km, ari_kmed))
+            part = cuts[k].withColumn("key", F.lit(f"{method}:{k}"))
+            stacked = part if stacked is None else stacked.unionByName(part)
+    errors = {r["key"]: r["error"] for r in _keyed_errors(stacked.join(pts, "id")).collect()}  # one row per cell
+    rows = []
+    for method in LK.METHODS:
+        cut = at_k[method]
+        sil = EV.silhouette(cut.join(pts, "id")).first()["silhouette"]
+        aris = [EV.adjusted_rand(base[name], cut).first()["ari"] for name in ("kmeans", "kmedoids")]
+        rows += [(method, k, errors[f"{method}:{k}"], *((sil, *aris) if k == K else (None, None, None))) for k in KS]
     return spark.createDataFrame(rows, "method string, k int, mean_centroid_error double, silhouette_k5 double, "
                                        "ari_vs_kmeans_k5 double, ari_vs_kmedoids_k5 double")
 
 
 def q_clustering_sweep(spark, folder):
-    from concurrent.futures import ThreadPoolExecutor
-    raw = customer_points(spark, folder).select("id", "features")
-    stats = SC.column_stats(raw, DIMS)
-    frames, changed = {}, {}
+    """X-6: k-means and k-medoids on every (noise, k) cell.  The k-means fits are
+    independent Spark jobs, several at a time; all k-medoids runs of a noise level advance in
+    the same jobs."""
+    raw = cut_lineage(customer_points(spark, folder).select("id", "features"))
+    stats = cut_lineage(SC.column_stats(raw, DIMS))
+    rows = []
     for level in NOISE:
         pts = SC.add_noise(raw, level, DIMS, SEED) if level else raw.withColumn("changed", F.lit(False))
-        pts = SC.standardize(pts, stats).cache()
-        changed[level] = pts.where("changed").count()
-        frames[level] = pts
-    cells = {i: (level, k) for i, (level, k) in enumerate((lv, k) for lv in NOISE for k in KS)}
-
-    def km(cell):
-        level, k = cells[cell]
-        summary = PT.kmeans(frames[level], k, SEED, parallel=4)[2].first()
-        return ("kmeans", level, k, changed[level], summary["error"], summary["objective"])
-
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        rows = list(pool.map(km, sorted(cells)))
-    stacked = None
-    for cell, (level, _) in cells.items():
-        part = frames[level].select(F.lit(cell).alias("cell"), "id", "features")
-        stacked = part if stacked is None else stacked.unionByName(part)
-    _, _, costs = PT.kmedoids_runs(stacked, {c: k for c, (_, k) in cells.items()}, 4, SEED)
-    for r in costs.collect():
-        level, k = cells[r["cell"]]
-        rows.append(("kmedoids", level, k, changed[level], r["error"], r["objective"]))
-    for f in frames.values():
-        f.unpersist()
+        pts = cut_lineage(SC.standardize(pts, stats))
+        changed = pts.where("changed").count()
+        fits = PT.kmeans_costs(pts, KS, SEED)
+        rows += [("kmeans", level, k, changed, *fits[k]) for k in KS]
+        cells = pts.select(F.explode(F.array(*[F.lit(k) for k in KS])).alias("cell"), "id", "features")
+        _, _, costs = PT.kmedoids_runs(cells, {k: k for k in KS}, 4, SEED)
+        rows += [("kmedoids", level, r["cell"], changed, r["error"], r["objective"]) for r in costs.collect()]
     return spark.createDataFrame(rows, "algorithm string, noise_fraction double, k int, changed_objects long, "
                                        "mean_euclidean_error double, algorithm_objective double")
 

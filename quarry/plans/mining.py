@@ -15,6 +15,7 @@ from quarry.operators import itemsets as I
 from quarry.operators import rules as R
 from quarry.plans.inputs import joined, order_baskets
 
+# The published grids of the sweeps.
 SUPPORT = "1%"
 SWEEP = ("1%", "3%", "5%", "10%", "15%")
 CONFIDENCE_GRID = ("20%", "25%", "30%", "35%", "40%", "45%", "50%")
@@ -82,7 +83,7 @@ def q_itemset_length_hist(spark, folder):
 def q_support_sweep(spark, folder):
     baskets, n, found = _mined(spark, folder, "p_brand", support=SWEEP[0])
     return I.support_sweep(found, n, SWEEP).select(
-        "threshold", "minimum_count", F.col("length").cast("long").alias("length"),
+        "threshold", "minimum_count", F.col("total").cast("long").alias("total"), F.col("length").cast("long").alias("length"),
         F.col("frequent").cast("long").alias("frequent"))
 
 
@@ -97,6 +98,11 @@ def q_association_rules(spark, folder):
     return _rule_rows(R.generate_rules(found, "50%"))
 
 
+def q_association_rules_25(spark, folder):
+    found = _mined(spark, folder, "p_type")[2]
+    return _rule_rows(R.generate_rules(found, "25%"))
+
+
 def q_association_rules_capped(spark, folder):
     found = _mined(spark, folder, "p_type")[2]
     return _rule_rows(R.generate_rules(found, "30%", max_total_length=3))
@@ -135,6 +141,7 @@ QUERIES = {
     "itemset_length_hist": q_itemset_length_hist,
     "support_sweep": q_support_sweep,
     "association_rules": q_association_rules,
+    "association_rules_25": q_association_rules_25,
     "association_rules_capped": q_association_rules_capped,
     "association_rules_brand": q_association_rules_brand,
     "rule_count_by_confidence": q_rule_count_by_confidence,
@@ -230,9 +237,11 @@ SELECT len(s)::BIGINT AS length, count(*)::BIGINT AS itemsets FROM f GROUP BY le
     "support_sweep": f"""WITH {_frequent_cte('p_brand', '0.01')},
 grid(threshold, share) AS (VALUES ('1%', 0.01), ('3%', 0.03), ('5%', 0.05), ('10%', 0.10), ('15%', 0.15)),
 g AS (SELECT threshold, ceil(n.n * share)::BIGINT AS minimum_count FROM grid, n)
-SELECT threshold, minimum_count, len(s)::BIGINT AS length, count(*)::BIGINT AS frequent
-FROM f JOIN g ON f.cnt >= g.minimum_count GROUP BY threshold, minimum_count, len(s)""",
+SELECT threshold, minimum_count, sum(count(f.cnt)) OVER (PARTITION BY threshold)::BIGINT AS total,
+       len(s)::BIGINT AS length, count(f.cnt)::BIGINT AS frequent
+FROM g LEFT JOIN f ON f.cnt >= g.minimum_count GROUP BY threshold, minimum_count, len(s)""",
     "association_rules": _rules_sql("p_type", "0.01", "0.5"),
+    "association_rules_25": _rules_sql("p_type", "0.01", "0.25"),
     "association_rules_capped": _rules_sql("p_type", "0.01", "0.3", max_len=3),
     "association_rules_brand": _rules_sql("p_brand", "0.01", "0.12"),
     "rule_count_by_confidence": f"""WITH {_frequent_cte('p_type', '0.01')},
