@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, licenses, lines, nbsvm, neardup, packing, pii, rules, secrets, toxicity
+from quarry.llm import decontaminate, licenses, lines, nbsvm, neardup, oracles, packing, pii, rules, secrets, toxicity
 from quarry.sources.tables import table
 
 
@@ -72,4 +72,10 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE: dict[str, str] = {}
+# The others hold trained models or a tokenizer; tests/llm has them against brute force.
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": oracles.LINES,
+    "op6_secret_scan": oracles.SECRETS,
+    "op8_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op10_decontamination": oracles.DECONTAMINATION,
+}
