@@ -230,7 +230,7 @@ def learn_vocabulary(texts: list[bytes]) -> np.ndarray:
 
 
 def fit(sample: list[tuple[int, str]], counts: dict[int, int], steps: int = 400, batch: int = 32, rate: float = 0.01,
-        longest: int = 8, decay: float = 0.5, seed: int = 11) -> dict:
+        longest: int = 8, decay: float = 3.0, seed: int = 11) -> dict:
     """Model from (label, text) rows; ``counts``: class counts of all labelled rows.
 
     The network learns from the sampled texts of at most ``longest`` windows (there a
