@@ -71,12 +71,22 @@ def cut_lineage(df):
     the plan it replaces; in iterative jobs those estimates compound round after
     round until planning itself stalls.)  Never a local checkpoint."""
     spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    path = f"{folder.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{tables_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def tables_folder(spark: SparkSession) -> str:
+    """Where this application writes its working tables: one folder of its own."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete this application's working tables, once no frame that reads them is needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tables_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df, partitions: int = 16, key: str = "id"):
     """A fixed number of partitions with a fixed row order, for MLlib fits that draw per
     partition: the fit then depends on the data and ``partitions`` only, not on the cluster
