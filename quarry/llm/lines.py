@@ -80,12 +80,13 @@ def repeated_lines(docs: DataFrame, fold: str = FOLD) -> DataFrame:
     prints = cut_lineage(fingerprints(docs, fold))
     # a fingerprint counts twice where it guards equal windows (a line repeated on the spot)
     twice = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), 2).otherwise(1)
-    again = prints.groupBy("print").agg(F.sum(twice).alias("n")).where("n > 1").select("print")
+    again = cut_lineage(prints.groupBy("print").agg(F.sum(twice).alias("n")).where("n > 1").select("print"))
     windows = cut_lineage(prints.join(again, "print").select(
         "doc_id", "print", "start", F.posexplode("windows").alias("k", "w")).select(
         "print", "w", "doc_id", (F.col("start") + F.col("k")).alias("at")))
-    first = windows.groupBy("print", "w").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1").select("print", "w", "first")
+    # both joins meet written tables: an aggregate right below a join would keep its hot keys whole
+    first = cut_lineage(windows.groupBy("print", "w").agg(
+        F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", "w", "first"))
     later = windows.join(first, ["print", "w"]).where(F.struct("doc_id", "at") != F.col("first"))
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set("at")).alias("_starts"))
 
