@@ -213,11 +213,12 @@ def _links(bands: DataFrame, signatures: DataFrame, sets: DataFrame, rounds: int
     A bucket's members that are in one component need no more comparing.  While the pairs
     between components outnumber half the bucket rows, each bucket has one leader per round
     (another one each time) which meets the members outside its component, so a round never
-    makes more pairs than there are bucket rows.  When few pairs are left, or after
-    ``rounds`` rounds, all of them are compared: no pair that shares a band goes untested
+    makes more pairs than there are bucket rows.  When few pairs are left, or a round has
+    connected little, or after ``rounds`` rounds, all that are left are compared: no pair that shares a band goes untested
     unless its ends are already connected.
     """
     links = tested = labels = None
+    before = float("inf")
     for turn in range(rounds + 1):
         rows = bands.withColumn("label", F.col("id")) if labels is None else bands.join(
             labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("label"))
@@ -230,7 +231,11 @@ def _links(bands: DataFrame, signatures: DataFrame, sets: DataFrame, rounds: int
         across = mixed.agg(F.sum("across")).first()[0] or 0
         if not size:
             break
-        last = across <= size / 2 or turn == rounds
+        # leaders have done their part when a round no longer connects much: what is left in
+        # such buckets are pairs that are not similar, a few per row
+        stuck = across > 0.7 * before and across <= 20 * size
+        last = across <= size / 2 or stuck or turn == rounds
+        before = across
         if last:
             x, y = rows.alias("x"), rows.alias("y")
             pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) &
