@@ -3,8 +3,8 @@
 1. One pass over the texts: the set of word shingles of each document (64-bit hashes), its
    MinHash signature, the keys of its bands and a 128-bit digest of the set.  Documents with
    one digest are one *class* (exact copies of the set); its smallest id stands for it.
-2. Classes that share a band key are candidates.  No bucket is turned into all its pairs
-   while those are many: see `_links`.
+2. Classes that share a band key are candidates.  No bucket is turned into all its pairs:
+   see `_links`.
 3. A candidate's signatures are compared batch by batch.  After each batch the posterior
    of the Jaccard similarity given the matches so far (uniform prior) decides: if the
    probability that it reaches the threshold is below ``miss``, the pair is dropped.
@@ -28,6 +28,7 @@ import sys
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -41,6 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 4
 BANDS, ROWS = 40, 7
 HASHES = BANDS * ROWS
+BLOCK = 256  # rows of one side of a tile
 BATCH = 40  # signature values compared between two decisions
 MISS = 1e-6
 PERCENT = 80
@@ -207,57 +209,100 @@ def _checked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent:
         .where(close & (100 * both >= percent * (F.size("_a") + F.size("_b") - both))).select("a", "b"))
 
 
+_FACTS = ["id", "label", "signature", "grams"]
+
+
+def _meet_kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One tile: each asker against the members of other components.  Signatures are compared
+    batch by batch for the whole tile at once, survivors exactly; one verified link per asker
+    and component is enough."""
+    x, y = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+    out = []
+    if len(x) and len(y):
+        theirs = np.frombuffer(b"".join(y["signature"]), np.uint8).reshape(len(y), HASHES)
+        labels, ids, sets = y["label"].to_numpy(), y["id"].to_numpy(), list(y["grams"])
+        size = np.array([len(g) for g in sets])
+        for one in x.itertuples(index=False):
+            mine, n = np.frombuffer(one.signature, np.uint8), len(one.grams)
+            left = np.flatnonzero((labels != one.label) & (100 * np.minimum(size, n) >= PERCENT * np.maximum(size, n)))
+            matches, at = np.zeros(len(left), np.int64), 0
+            for stop, least in least_matches():
+                matches += (theirs[left, at:stop] == mine[at:stop]).sum(axis=1)
+                left, matches, at = left[matches >= least], matches[matches >= least], stop
+            linked = set()
+            for k in left[np.argsort(-matches, kind="stable")]:
+                if labels[k] not in linked:
+                    both = len(np.intersect1d(one.grams, sets[k], assume_unique=True))
+                    if 100 * both >= PERCENT * (n + size[k] - both):
+                        linked.add(labels[k])
+                        out.append((min(one.id, ids[k]), max(one.id, ids[k])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _meet(askers: DataFrame, members: DataFrame, facts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Verified links between ``askers(place, id)`` and ``members(place, id)`` of one place and
+    of different components.
+
+    Both sides of a place are dealt into blocks of about ``block`` rows; every pair of blocks
+    is one task, so no task holds a whole place, and no pair is a row before it is verified.
+    """
+    def blocks(rows, name):
+        return rows.groupBy("place").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("int").alias(name))
+
+    both = blocks(askers, "nx").join(blocks(members, "ny"), "place")
+    def dealt(rows, asks, own, other, mine, theirs):
+        return (rows.join(both, "place").withColumn(mine, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+                .withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .select("place", "id", F.lit(asks).alias("asks"), "bx", "by"))
+    rows = dealt(askers, True, "nx", "ny", "bx", "by").unionByName(dealt(members, False, "ny", "nx", "by", "bx"))
+    return (rows.join(facts.select(*_FACTS), "id").groupBy("place", "bx", "by").applyInPandas(_meet_kernel, "a long, b long"))
+
+
 def _links(bands: DataFrame, signatures: DataFrame, sets: DataFrame, rounds: int) -> DataFrame | None:
     """Verified links that decide about all components.
 
-    A bucket's members that are in one component need no more comparing.  While the pairs
-    between components outnumber half the bucket rows, each bucket has one leader per round
-    (another one each time) which meets the members outside its component, so a round never
-    makes more pairs than there are bucket rows.  When few pairs are left, or a round has
-    connected little, or after ``rounds`` rounds, all that are left are compared: no pair that shares a band goes untested
-    unless its ends are already connected.
+    First ``rounds`` leader rounds: each bucket has one leader (another one each time) which
+    meets the members outside its component, so a round makes no more pairs than there are
+    bucket rows.  Then the buckets whose members are still in several components: the members
+    outside a bucket's largest component meet that whole component, and each other, in blocks
+    (`_meet`).  So every two members of a bucket are either connected or were compared.
     """
-    links = tested = labels = None
-    before = float("inf")
+    links = labels = None
     for turn in range(rounds + 1):
         rows = bands.withColumn("label", F.col("id")) if labels is None else bands.join(
             labels, "id", "left").select("band", "id", F.coalesce("component", "id").alias("label"))
         per_label = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-        mixed = per_label.groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")) \
-            .withColumn("across", (F.col("n") * F.col("n") - F.col("same")) / 2).where("across > 0")
-        rows = cut_lineage(rows.join(mixed.select("band"), "band"))
+        mixed = per_label.groupBy("band").agg(F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("main"),
+                                              F.min("label").alias("low"), F.max("label").alias("high")) \
+            .where("low < high").select("band", (-F.col("main.l")).alias("main"))
+        rows = cut_lineage(rows.join(cut_lineage(mixed), "band"))
         bands = rows.select("band", "id")  # a bucket in one component stays so
-        size = rows.count()
-        across = mixed.agg(F.sum("across")).first()[0] or 0
-        if not size:
+        if rows.isEmpty():
             break
-        # leaders have done their part when a round no longer connects much: what is left in
-        # such buckets are pairs that are not similar, a few per row
-        stuck = across > 0.7 * before and across <= 20 * size
-        last = across <= size / 2 or stuck or turn == rounds
-        before = across
-        if last:
-            x, y = rows.alias("x"), rows.alias("y")
-            pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) &
-                           (F.col("x.label") != F.col("y.label"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        if turn < rounds:
+            lead = cut_lineage(rows.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "label")).alias("l")))
+            pairs = cut_lineage(rows.join(lead, "band").where(F.col("label") != F.col("l.label")).select(
+                F.least("id", F.col("l.id")).alias("a"), F.greatest("id", F.col("l.id")).alias("b")).distinct())
+            found = _checked(pairs, signatures, sets)
         else:
-            lead = rows.groupBy("band").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "label")).alias("l"))
-            pairs = rows.join(lead, "band").where(F.col("label") != F.col("l.label")).select(
-                F.least("id", F.col("l.id")).alias("a"), F.greatest("id", F.col("l.id")).alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        found = _checked(pairs, signatures, sets)
+            facts = signatures.join(sets, "id")
+            facts = facts.withColumn("label", F.col("id")) if labels is None else facts.join(labels, "id", "left") \
+                .withColumn("label", F.coalesce("component", "id"))
+            facts = cut_lineage(facts.select(*_FACTS))
+            outside = cut_lineage(rows.where(F.col("label") != F.col("main")))
+            to_main = outside.select(F.col("main").alias("place"), "id").distinct()
+            whole = facts.select(F.col("label").alias("place"), "id").join(to_main.select("place").distinct(), "place")
+            found = cut_lineage(_meet(to_main, whole, facts))
+            several = outside.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+            rest = cut_lineage(outside.join(cut_lineage(several.select("band")), "band").select(F.col("band").alias("place"), "id"))
+            found = found.unionByName(cut_lineage(_meet(rest, rest, facts)))
         links = found if links is None else links.unionByName(found)
-        if last:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = components(links)
+        if turn < rounds:
+            labels = components(links)
     return links
 
 
-def near_duplicates(docs: DataFrame, rounds: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per document row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where(F.col("doc_id").isNotNull())
