@@ -15,6 +15,8 @@ from quarry.operators import quality as Q
 from quarry.operators import split as S
 from quarry.operators import tree as T
 from quarry.plans import inputs as IN
+from quarry.plans.tree_sql import NODES as TREE_NODES
+from quarry.plans.tree_sql import tree_ctes
 from quarry.session import cut_lineage
 
 # The published grids of the sweeps.
@@ -100,7 +102,8 @@ def q_classification_quality(spark, folder):
 
 def q_tree_nodes(spark, folder):
     model, _ = _fitted(spark, folder)
-    return model.node_table(spark)
+    return model.node_table(spark).withColumn("parent_id", F.coalesce("parent_id", F.lit(0))) \
+        .withColumn("threshold", F.round("threshold", 9)).withColumn("score", F.round("score", 9))
 
 
 def q_tree_predict(spark, folder):
@@ -339,3 +342,23 @@ SELECT tp, fp, fn, tn,
        CASE WHEN 2 * tp + fp + fn > 0 THEN (2 * tp)::DOUBLE / (2 * tp + fp + fn) ELSE 0 END AS f1
 FROM c""",
 }
+
+
+def _tree_oracles() -> dict[str, str]:
+    def ctes(criterion="gini", share=SHARE):
+        return tree_ctes(_SPLIT.replace("0.8::DOUBLE", f"{share}::DOUBLE"), _score_sql(criterion))
+
+    def scores(name, values, one):
+        return " UNION ALL ".join(f"(WITH {one(v)} SELECT {v!r} AS {name}, (SELECT count(*) FROM tree) AS nodes, quality.*{{more}} FROM quality)"
+                                  for v in values)
+    counts = ", (SELECT n FROM tree WHERE node_id = 1) AS train_count, tp + fp + fn + tn AS test_count"
+    return {
+        "tree_nodes": f"WITH {ctes()} {TREE_NODES}",
+        "tree_predict": f"WITH {ctes()} SELECT row_key, label, node_id, prediction FROM routed",
+        "tree_quality": f"WITH {ctes()} SELECT * FROM quality",
+        "criterion_sweep": scores("criterion", CRITERIA, lambda c: ctes(c)).replace("{more}", ""),
+        "train_share_sweep": scores("train_share", SHARES, lambda v: ctes(share=v)).replace("{more}", counts),
+    }
+
+
+ORACLE |= _tree_oracles()
