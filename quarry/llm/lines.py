@@ -9,8 +9,8 @@ certain, and only about a third of the positions are fingerprints.
 
 Fingerprints that occur once are dropped (a map-side combined count and a join).  Where one
 occurs again, the match is extended both ways over the windows that it guards: windows are
-compared by hash with their first occurrence by (document, position), and a document's
-later windows are put together to maximal runs.  A run of ``min_words`` or more words is
+compared by two independent hashes (64 and 32 bits) with their first occurrence by (document,
+position), and a document's later windows are put together to maximal runs.  A run of ``min_words`` or more words is
 deleted.  In plain terms: a line goes if it lies in a run of at least RUN lines and
 min_words words each of whose windows occurred earlier.
 
@@ -32,6 +32,7 @@ from quarry.session import cut_lineage
 
 RUN = 5
 MIN_WORDS = 25
+SEED = 5
 FOLD = r"(?<=\n)(?!\n)|(?<=\s)(?=[A-ZÀ-Þab])"
 
 
@@ -56,14 +57,18 @@ def _part(values: Column, first: Column, end: Column) -> Column:
 def fingerprints(docs: DataFrame, fold: str = FOLD) -> DataFrame:
     """(doc_id, print, start, windows): each selected fingerprint with the hashes of the
     windows that it guards, the first of which begins at line ``start``."""
-    hashed = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.transform(
-        cut(F.col("text"), fold), lambda u: F.xxhash64(F.rtrim(u, F.lit(" \n\t\r")))).alias("h"))
-    # RUN = 5 lines hold 4 neighbouring pairs g: m is the least of them, w covers 2 + 2 + 1 lines
-    pairs = hashed.select("doc_id", "h", _pairs(F.col("h"), F.col("h"), 1, F.size("h") - 1, lambda a, b: F.xxhash64(a, b)).alias("g"))
-    halves = pairs.select("doc_id", "h", _pairs(F.col("g"), F.col("g"), 1, F.size("g") - 1, lambda a, b: F.least(a, b)).alias("m2"),
-                          _pairs(F.col("g"), F.col("g"), 2, F.size("g") - 2, lambda a, b: F.xxhash64(a, b)).alias("w2"))
+    cuts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.transform(
+        cut(F.col("text"), fold), lambda u: F.rtrim(u, F.lit(" \n\t\r"))).alias("u"))
+    hashed = cuts.select("doc_id", F.transform("u", lambda u: F.xxhash64(u)).alias("h"),
+                         F.transform("u", lambda u: F.xxhash64(F.lit(SEED), u)).alias("c"))
+    # RUN = 5 lines hold 4 neighbouring pairs g: m is the least of them, w names the 5 lines
+    # by 64 bits and, from line hashes of another seed, by 32 more
+    pairs = hashed.select("doc_id", "h", "c", _pairs(F.col("h"), F.col("h"), 1, F.size("h") - 1, lambda a, b: F.xxhash64(a, b)).alias("g"))
+    halves = pairs.select("doc_id", "h", "c", "g", _pairs(F.col("g"), F.col("g"), 1, F.size("g") - 1, lambda a, b: F.least(a, b)).alias("m2"))
     rows = halves.select("doc_id", _pairs(F.col("m2"), F.col("m2"), 2, F.size("m2") - 2, lambda a, b: F.least(a, b)).alias("m"),
-                         _pairs(F.col("w2"), F.col("h"), 4, F.size("h") - 4, lambda a, b: F.hash(a, b)).alias("w"))
+                         F.when(F.size("h") >= RUN, F.transform(F.sequence(F.lit(0), F.greatest(F.size("h") - RUN, F.lit(0))), lambda i: F.struct(
+                             F.xxhash64(F.lit(SEED), *[F.get(F.col("h"), i + k) for k in range(RUN)]).alias("a"),
+                             F.hash(*[F.get(F.col("c"), i + k) for k in range(RUN)]).alias("b")))).alias("w"))
     # a fingerprint guards the windows from one change of the least pair to the next (no rows
     # are filtered here: a filter would move down to the scan with all these expressions)
     first = rows.select("doc_id", "m", "w", F.when(F.size("m") > 0, F.filter(

@@ -199,6 +199,18 @@ def test_lines_inside_other_lines_copies_and_odd_texts(spark):
     check_lines(spark, {1: "same line b\n" * 40, 2: "same line b\n" * 3})
 
 
+def test_different_windows_behind_one_hot_pair_are_kept(spark):
+    # the ids were searched so that the windows of two agree in 32-bit hashes of the older form
+    hot = spark.range(20_000).select(F.concat(F.lit("very common line number "), "id").alias("a")).orderBy(
+        F.xxhash64(F.xxhash64("a"), F.xxhash64(F.lit("then one more common line")))).first()["a"]
+    pairs = [(210471, 301218), (5369, 272463), (137773, 203202), (205118, 21831), (165650, 347599), (81515, 295588)]
+    texts = {i: f"{hot}\nthen one more common line\nthe item {i} is listed here\nwith count {i * 7 % 1000} in the second column\n"
+                "the remark in the third column reads so\n" for pair in pairs for i in pair}
+    assert check_lines(spark, texts) == texts
+    kept = next(iter(texts.values()))
+    assert check_lines(spark, texts | {400_000: kept})[400_000] == ""
+
+
 def test_lines_keep_rows_and_columns(spark):
     assert lines.dedup(frame(spark, {})).count() == 0
     docs = frame(spark, {1: "a b c", 2: None}).union(frame(spark, {None: "k"}) if False else frame(spark, {1: "a b c"}))
