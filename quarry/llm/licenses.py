@@ -1,7 +1,10 @@
 """License scans: a trained paragraph classifier (operator 1).
 
 A text is cut into paragraphs (line breaks, and sentence ends, so that a notice inside a
-line stands alone).  A multinomial logistic regression over sparse word 2- and 3-grams
+line stands alone).  A notice may be wrapped at any width: where a sentence goes over several
+lines (to a blank line at most), its runs of neighbouring lines are scored as paragraphs too;
+a run counts if none of its lines is a notice by itself, and of runs that overlap the best
+covered one counts.  A multinomial logistic regression over sparse word 2- and 3-grams
 names the licence family of a paragraph or *unknown*.  It is trained here, on notices made
 from the templates below and on prose that speaks of similar things; a third of the rows is
 kept out to fit a temperature and the probability below which a paragraph counts as
@@ -108,6 +111,7 @@ OTHER = [
 ]
 UNKNOWN = "unknown"
 SPLIT = r"\n+|(?<=[.!?;])\s+"
+SENTENCE = r"\n[^a-z0-9\n]*\n|(?<=[.!?;])\s+"
 WORD = "[^a-z0-9]+"
 COVER = 0.6
 
@@ -195,14 +199,45 @@ def _grams(words: Column, n: int) -> Column:
 
 
 def paragraphs(text: Column) -> Column:
-    """(number, words) of each paragraph."""
-    return F.transform(F.split(F.lower(text), SPLIT, -1),
-                       lambda p, i: F.struct(i.alias("number"), F.filter(F.split(p, WORD), lambda w: w != "").alias("words")))
+    """(number, lines) of each sentence, a line being its words; lines without words are left out."""
+    def lines(sentence):
+        words = F.transform(F.split(sentence, r"\n+"), lambda p: F.filter(F.split(p, WORD), lambda w: w != ""))
+        return F.filter(words, lambda w: F.size(w) > 0)
+
+    return F.transform(F.split(F.lower(text), SENTENCE, -1), lambda s, i: F.struct(i.alias("number"), lines(s).alias("lines")))
+
+
+def _line_runs(p: Column, inner: int) -> Column:
+    """(number, first, last, words) of a sentence's runs of 2 and more lines with at most
+    ``inner`` words between the first and the last line, and of the whole sentence.  ``p.ends``
+    counts the words before each line."""
+    def run(i, j):
+        return F.struct(p["number"].alias("number"), i.alias("first"), j.alias("last"),
+                        F.flatten(F.slice(p["lines"], i + 1, j - i + 1)).alias("words"))
+
+    last = F.size(p["lines"]) - 1
+    some = F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.transform(
+        F.filter(F.sequence(i + 1, F.least(last, i + 1 + inner)), lambda j: F.get(p["ends"], j) - F.get(p["ends"], i + 1) <= inner),
+        lambda j: run(i, j)))
+    return F.concat(F.flatten(some), F.array(run(F.lit(0), last)))
+
+
+def _apart(found: Column) -> Column:
+    """Single lines, and of the line runs those without one of them, the best covered first,
+    that do not overlap one taken before; in the order of the text."""
+    def meet(a, b):
+        return (a["number"] == b["number"]) & (a["first"] <= b["last"]) & (b["first"] <= a["last"])
+
+    lines = F.filter(found, lambda p: p["first"] == p["last"])
+    best = F.array_sort(F.transform(F.filter(found, lambda p: p["first"] < p["last"]), lambda p: F.struct(
+        (-p["cover"]).alias("c"), (-p["probability"]).alias("q"), (p["last"] - p["first"]).alias("n"), p.alias("p"))))
+    kept = F.aggregate(best, lines, lambda acc, b: F.when(F.exists(acc, lambda k: meet(k, b["p"])), acc).otherwise(F.concat(acc, F.array(b["p"]))))
+    return F.array_sort(kept)
 
 
 def scan(docs: DataFrame, model: dict | None = None, cover: float = COVER) -> DataFrame:
     """``docs`` rows as (doc_id, n_paragraphs, hits): hits are the confirmed paragraphs
-    (number, family, probability, cover) in order."""
+    (number of the sentence, family, probability, cover) in order."""
     model = model or fit(docs.sparkSession)
     classes, places = model["classes"], {g: i for i, g in enumerate(model["vocabulary"])}
     pairs = [g for g in places if g.count(" ") == 1]
@@ -214,12 +249,33 @@ def scan(docs: DataFrame, model: dict | None = None, cover: float = COVER) -> Da
                                           for f, texts in TEMPLATES.items()})), "map<string,array<array<string>>>")
     cut = docs.select("doc_id", paragraphs(F.col("text").cast("string")).alias("p"))
     # most paragraphs hold no pair of words of any template: they keep the bias, i.e. unknown
-    some = cut.select("doc_id", F.coalesce(F.size(F.filter("p", lambda p: F.size(p["words"]) > 0)), F.lit(0)).alias("n_paragraphs"),
-                      F.filter("p", lambda p: F.exists(_grams(p["words"], 2), lambda g: g.isin(pairs))).alias("p"))
-    grams = some.select("doc_id", "n_paragraphs", F.transform("p", lambda p: F.struct(
-        p["number"].alias("number"), F.concat(_grams(p["words"], 2), _grams(p["words"], 3)).alias("grams"))).alias("p"))
+    some = cut.select("doc_id", F.coalesce(F.aggregate("p", F.lit(0), lambda n, p: n + F.size(p["lines"])), F.lit(0)).alias("n_paragraphs"),
+                      F.filter("p", lambda p: F.exists(_grams(F.flatten(p["lines"]), 2), lambda g: g.isin(pairs))).alias("p"))
+    # lines together can only be confirmed where the whole sentence covers some template
+    templates = [sorted(set(grams_of(words_of(t)))) for texts in TEMPLATES.values() for t in texts]
+    all_known = F.from_json(F.lit(json.dumps(templates)), "array<array<string>>")
+    inner, least = 2 * max(len(words_of(t)) for texts in TEMPLATES.values() for t in texts), min(cover * len(t) for t in templates)
+    wrapped = some.select("doc_id", "n_paragraphs", "p", F.transform(F.filter("p", lambda p: F.size(p["lines"]) > 1), lambda p: F.struct(
+        p["number"].alias("number"), p["lines"].alias("lines"), F.array_distinct(F.filter(F.concat(
+            _grams(F.flatten(p["lines"]), 2), _grams(F.flatten(p["lines"]), 3)), lambda g: g.isin(list(places)))).alias("known"))).alias("w"))
+    enough = wrapped.select("doc_id", "n_paragraphs", "p", F.filter("w", lambda p: (F.size(p["known"]) >= least) & F.exists(
+        all_known, lambda t: F.size(F.array_intersect(t, p["known"])) / F.size(t).cast("double") >= cover)).alias("w"))
+    counted = enough.select("doc_id", "n_paragraphs", "p", F.transform("w", lambda p: F.struct(
+        p["number"].alias("number"), p["lines"].alias("lines"), F.aggregate(p["lines"], F.array(F.lit(0)), lambda ends, w: F.concat(
+            ends, F.array(F.element_at(ends, -1) + F.size(w)))).alias("ends"))).alias("w"))
+    single = F.flatten(F.transform("p", lambda p: F.transform(p["lines"], lambda w, k: F.struct(
+        p["number"].alias("number"), k.alias("first"), k.alias("last"), w.alias("words")))))
+    pieces = counted.select("doc_id", "n_paragraphs", F.concat(
+        F.filter(single, lambda p: F.exists(_grams(p["words"], 2), lambda g: g.isin(pairs))),
+        F.flatten(F.transform("w", lambda p: _line_runs(p, inner)))).alias("p"))
+
+    def place(p):
+        return [p[name].alias(name) for name in ("number", "first", "last")]
+
+    grams = pieces.select("doc_id", "n_paragraphs", F.transform("p", lambda p: F.struct(
+        *place(p), F.concat(_grams(p["words"], 2), _grams(p["words"], 3)).alias("grams"))).alias("p"))
     vectors = grams.select("doc_id", "n_paragraphs", F.transform("p", lambda p: F.struct(
-        p["number"].alias("number"), F.array_distinct(F.filter(p["grams"], lambda g: g.isin(list(places)))).alias("known"),
+        *place(p), F.array_distinct(F.filter(p["grams"], lambda g: g.isin(list(places)))).alias("known"),
         (1 / F.sqrt(F.size(p["grams"]).cast("double"))).alias("value"))).alias("p"))
     zero = F.array(*[F.lit(b) for b in bias])
 
@@ -227,12 +283,12 @@ def scan(docs: DataFrame, model: dict | None = None, cover: float = COVER) -> Da
         return F.aggregate(p["known"], zero, lambda acc, g: F.zip_with(acc, F.try_element_at(table, g), lambda a, w: a + w * p["value"]))
 
     scored = vectors.select("doc_id", "n_paragraphs", F.transform("p", lambda p: F.struct(
-        p["number"].alias("number"), p["known"].alias("known"), logits(p).alias("z"))).alias("p"))
+        *place(p), p["known"].alias("known"), logits(p).alias("z"))).alias("p"))
 
     def named(p):
         top = F.array_max(p["z"])
         total = F.aggregate(p["z"], F.lit(0.0), lambda s, z: s + F.exp(z - top))
-        return F.struct(p["number"].alias("number"), p["known"].alias("known"), (1 / total).alias("probability"),
+        return F.struct(*place(p), p["known"].alias("known"), (1 / total).alias("probability"),
                         F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position(p["z"], top).cast("int")).alias("family"))
 
     def cover_of(p):
@@ -243,11 +299,13 @@ def scan(docs: DataFrame, model: dict | None = None, cover: float = COVER) -> Da
     families = scored.select("doc_id", "n_paragraphs", F.filter(F.transform("p", named), lambda p: (
         p["family"] != UNKNOWN) & (p["probability"] >= model["threshold"])).alias("p"))
     covered = families.select("doc_id", "n_paragraphs", F.transform("p", lambda p: F.struct(
-        p["number"].alias("number"), p["family"].alias("family"), p["probability"].alias("probability"),
+        *place(p), p["family"].alias("family"), p["probability"].alias("probability"),
         cover_of(p).alias("cover"))).alias("p"))
-    return covered.select("doc_id", "n_paragraphs", F.coalesce(
-        F.filter("p", lambda p: p["cover"] >= cover), F.expr("cast(array() as array<struct<number:int,family:string,"
-                                                             "probability:double,cover:double>>)")).alias("hits"))
+    confirmed = covered.select("doc_id", "n_paragraphs", F.filter("p", lambda p: p["cover"] >= cover).alias("p"))
+    apart = confirmed.select("doc_id", "n_paragraphs", _apart(F.col("p")).alias("p"))
+    return apart.select("doc_id", "n_paragraphs", F.coalesce(F.transform("p", lambda p: F.struct(
+        p["number"].alias("number"), p["family"].alias("family"), p["probability"].alias("probability"), p["cover"].alias("cover"))),
+        F.expr("cast(array() as array<struct<number:int,family:string,probability:double,cover:double>>)")).alias("hits"))
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -239,6 +240,27 @@ def test_licenses_found_and_confirmed(spark, license_model):
     assert all(rows[i]["family"] == "unknown" and rows[i]["n_hits"] == 0 for i in ODD)
 
 
+def test_licenses_in_wrapped_lines(spark, license_model):
+    r, texts, want, family_of = random.Random(9), {}, {}, {}
+    published = [("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                  'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+                  "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+                  "persons to whom the Software is furnished to do so, subject to the following conditions:")]
+    for family, notice in [(f, t) for f, rows in licenses.TEMPLATES.items() for t in rows] + published:
+        for width in (40, 72, 80, 10_000):
+            for mark in ("", "# "):
+                for head in ("", mark + "Copyright 2020 the authors\n"):
+                    prose = " ".join("".join(r.choice("aeiounrst") for _ in range(5)) for _ in range(12))
+                    i = len(texts)
+                    texts[i] = f"{prose}\n\n{head}" + textwrap.fill(notice, width, initial_indent=mark, subsequent_indent=mark) + f"\n\n{prose}"
+                    want[i], family_of[i] = family, (notice, width, mark, head)
+    rows = {r["doc_id"]: r for r in licenses.report(licenses.scan(frame(spark, texts), license_model)).collect()}
+    whole = {family_of[i][0]: rows[i]["families"] for i in want if family_of[i][1:] == (10_000, "", "")}
+    lost = [(family_of[i], rows[i]["families"]) for i, f in want.items() if rows[i]["family"] != f]
+    assert not [x for x in lost if whole[x[0][0]]], lost  # what is found on one line is found wrapped
+    assert sum(bool(v) for v in whole.values()) >= 0.97 * len(whole)
+
+
 def test_license_expression_equals_brute_force(spark, license_model):
     import numpy as np
     m, r = license_model, random.Random(8)
