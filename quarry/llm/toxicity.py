@@ -1,6 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling (operator 4).
 
-A text is cut into overlapping windows of ``WINDOW`` words (``STRIDE`` apart, the last one
+Runs of letters over 64 bytes (scripts without blanks) are cut into overlapping words, so all
+bytes count.  A text is cut into overlapping windows of ``WINDOW`` words (``STRIDE`` apart, the last one
 reaching the end).  Each word enters as a word vector (words that occur in 3 to
 12 training texts or more, by the sample's size; one shared vector for all others) beside the mean vector of its hashed
 character trigrams.  Two gated recurrent layers read the window in both directions, an
@@ -19,6 +20,7 @@ row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import sys
 
 import numpy as np
@@ -37,36 +39,75 @@ WINDOW, STRIDE = 64, 48
 WORD_DIM = CHAR_DIM = HIDDEN = ATTENTION = 8
 VOCABULARY, MIN_DOCS, CHAR_BUCKETS = 4_000, (3, 12), 4096
 PIECE = 400_000
+LONGEST = 64  # bytes of a word
+OVERLAP = 16  # bytes that neighbouring words cut from a longer run share
 # Lower case for A-Z; a word is a run of letters, digits and non-ASCII bytes.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+# Spaces and punctuation beyond ASCII end a word too (code points, and the same as UTF-8).
+_MARKS = ("\xa0\xa1\xa7\xab\xb6\xb7\xbb\xbf\u060c\u061b\u061f\u06d4\u0964\u0965\u2000-\u200b\u2010-\u2029\u202f-\u205f"
+          "\u3000-\u3004\u3008-\u3020\u3030\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65")
+_BREAK = re.compile(rb"\xc2[\xa0\xa1\xa7\xab\xb6\xb7\xbb\xbf]|\xd8[\x8c\x9b\x9f]|\xdb\x94|\xe0\xa5[\xa4\xa5]"
+                    rb"|\xe2\x80[\x80-\x8b\x90-\xa9\xaf-\xbf]|\xe2\x81[\x80-\x9f]|\xe3\x80[\x80-\x84\x88-\xa0\xb0]"
+                    rb"|\xef\xbc[\x81-\x8f\x9a-\xa0\xbb-\xbf]|\xef\xbd[\x80\x9b-\xa5]")
 
 
 # ------------------------------------------------------------------ inputs
 
+def cut_runs(a: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The (start, end) runs with those of over LONGEST bytes cut into words of at most that
+    many, at code points; the next word begins OVERLAP bytes or so before the last one's end."""
+    long = np.flatnonzero(end - start > LONGEST)
+    if not len(long):
+        return start, end
+    starts, ends, done = [], [], 0
+    for i in long:
+        starts.append(start[done:i])
+        ends.append(end[done:i])
+        low, last, own = int(start[i]), int(end[i]), ([], [])
+        while True:
+            high = min(low + LONGEST, last)
+            while high < last and a[high] & 0xC0 == 0x80:
+                high -= 1
+            own[0].append(low)
+            own[1].append(high)
+            if high == last:
+                break
+            low = high - OVERLAP
+            while a[low] & 0xC0 == 0x80:
+                low += 1
+        starts.append(np.array(own[0]))
+        ends.append(np.array(own[1]))
+        done = i + 1
+    return np.concatenate([*starts, start[done:]]), np.concatenate([*ends, end[done:]])
+
+
 class Words:
     """The words of a few texts: ``of`` numbers each word of the run within ``hashes``."""
 
     def __init__(self, texts: list[bytes]):
+        texts = [t if t.isascii() else _BREAK.sub(lambda m: b" " * len(m[0]), t) for t in texts]
         a = np.frombuffer(b" ".join(t.translate(_TABLE) for t in texts) + b" ", np.uint8)
         gap = a == 32
-        start = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
-        end = np.flatnonzero(gap & np.r_[False, ~gap[:-1]])
+        start, end = cut_runs(a, np.flatnonzero(~gap & np.r_[True, gap[:-1]]), np.flatnonzero(gap & np.r_[False, ~gap[:-1]]))
         bound = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.per_text = np.diff(np.searchsorted(start, bound))
         if not len(start):
             self.hashes, self.of, self.grams, self.owner = (np.zeros(0, np.uint64), np.zeros(0, np.int64),
                                                             np.zeros(0, np.int64), np.zeros(0, np.int64))
             return
+        # the bytes of all words, those that two words share once in each
         length = end - start
-        at = np.arange(len(a)) - np.repeat(np.r_[0, start], np.diff(np.r_[0, start, len(a)]))
-        whole = np.add.reduceat(_LETTER[(at & 31) << 8 | a], start)
+        spot = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        whole = np.add.reduceat(_LETTER[(spot & 31) << 8 | a[spot + np.repeat(start, length)]], np.cumsum(length) - length)
         self.hashes, first, self.of = np.unique(whole, return_index=True, return_inverse=True)
-        # character trigrams of each different word, with its ends marked by the spaces around it
-        length, start = np.minimum(length[first], 64), start[first]
-        self.owner = np.repeat(np.arange(len(first)), length)
+        # character trigrams of each different word, with its ends marked by spaces around it
+        length, start = length[first], start[first]
+        self.owner, edge = np.repeat(np.arange(len(first)), length), np.cumsum(length)
         spot = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start, length)
         b = a.astype(np.uint32)
-        gram = (np.where(spot > 0, b[spot - 1], 32) << 16) | (b[spot] << 8) | b[np.minimum(spot + 1, len(b) - 1)]
+        before, after = b[spot - 1], b[spot + 1]
+        before[edge - length] = after[edge - 1] = 32
+        gram = (before << 16) | (b[spot] << 8) | after
         self.grams = ((gram * np.uint32(0x9E3779B1)) >> np.uint32(20)).astype(np.int64)  # 12 bits: CHAR_BUCKETS
 
     def numbers(self, vocabulary: np.ndarray) -> np.ndarray:
@@ -291,16 +332,22 @@ def fit(sample: list[tuple[int, str]], counts: dict[int, int], steps: int = 400,
 # ------------------------------------------------------------------ scoring
 
 def parts(raw: bytes, size: int = PIECE, overlap: int = 2048):
-    """A long text in parts that share ``overlap`` bytes and begin and end at white space."""
+    """A long text in parts that share ``overlap`` bytes and begin and end at white space, or at
+    code points where ``overlap`` bytes hold none."""
     if len(raw) <= size:
         yield raw
         return
     at = 0
     while at < len(raw):
-        end = at + size
-        while end < len(raw) and raw[end] != 32 and raw[end] != 10:
+        end = far = min(at + size, len(raw))
+        while end < len(raw) and end < far + overlap and raw[end] != 32 and raw[end] != 10:
+            end += 1
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
             end += 1
-        begin = raw.rfind(b" ", 0, at - overlap) + 1 if at > overlap else 0
+        begin = max(at - overlap, 0)
+        begin = raw.rfind(b" ", max(begin - overlap, 0), begin) + 1 or begin
+        while begin < at and raw[begin] & 0xC0 == 0x80:
+            begin += 1
         yield raw[begin:end]
         at = end
 
@@ -330,7 +377,7 @@ def best_logits(texts: list[bytes], m: dict) -> np.ndarray:
 def score(text: Column, model: dict, spark: SparkSession) -> Column:
     """P(toxic) of every whole text; the model's size is bounded by its parameters."""
     if "share" in model:
-        return F.when(F.length(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]", "")) > 0,
+        return F.when(F.length(F.regexp_replace(F.coalesce(text, F.lit("")), f"[^0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]|[{_MARKS}]", "")) > 0,
                       F.lit(model["share"])).otherwise(0.0)
     shared = spark.sparkContext.broadcast(model)
 

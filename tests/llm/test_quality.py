@@ -111,6 +111,38 @@ def test_indicators_do_not_depend_on_pieces(monkeypatch):
     assert len(list(cut(text.encode(), 1000))) > 20 and set(nbsvm.indicators(text)) == whole
 
 
+def test_toxic_phrase_late_in_an_unspaced_run():
+    r = random.Random(5)
+    rows = []
+    for i in range(900):
+        run = [chr(r.randrange(0x4E00, 0x4E80)) for _ in range(r.randrange(60, 120))]
+        if i % 3 == 0:
+            at = r.randrange(25, len(run))  # beyond byte 64
+            run[at:at] = "蠢货滚开蠢货滚开"
+        rows.append((int(i % 3 == 0), "".join(run)))
+    model = toxicity.fit(rows[:600], {0: 400, 1: 200})
+    logit = model["slope"] * toxicity.best_logits([t.encode() for _, t in rows[600:]], model) + model["offset"]
+    assert np.mean((logit > 0) == [y == 1 for y, _ in rows[600:]]) >= 0.9
+
+
+def test_all_bytes_of_long_runs_stand_in_words():
+    texts = ["字é\U0001f642" * 400, "x" * 1000, "a b " + "ы" * 100 + " c", "第一句。第二句！「三」", "", "y" * 64]
+    words = toxicity.Words([t.encode() for t in texts])
+    a = np.frombuffer(" ".join(texts).encode() + b" ", np.uint8)
+    gap = a == 32
+    start, end = toxicity.cut_runs(a, np.flatnonzero(~gap & np.r_[True, gap[:-1]]), np.flatnonzero(gap & np.r_[False, ~gap[:-1]]))
+    seen = np.zeros(len(a), bool)
+    for low, high in zip(start, end):
+        a[low:high].tobytes().decode()
+        seen[low:high] = True
+        assert high - low <= toxicity.LONGEST
+    assert (seen == ~gap).all() and list(words.per_text[[3, 4, 5]]) == [3, 0, 1]
+    raw = ("字" * 300 + "\n").encode() * 40
+    cut = list(toxicity.parts(raw, 5000, 500))
+    assert max(map(len, cut)) <= 6600 and all(p.decode() for p in cut)
+    assert sum(map(len, cut)) >= len(raw) and raw.endswith(cut[-1])
+
+
 def test_gradients_by_differences():
     r = np.random.default_rng(0)
     texts = [b"alpha beta gamma delta " * 5, b"beta epsilon zeta"]
