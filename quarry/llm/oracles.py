@@ -93,3 +93,56 @@ SELECT doc_id, coalesce(n, 0)::INT AS n_runs, coalesce(s, '') AS runs,
        length(CASE WHEN text IS NOT NULL THEN coalesce(t, '') END)::BIGINT AS n_chars_kept,
        sha256(CASE WHEN text IS NOT NULL THEN coalesce(t, '') END) AS text_sha256
 FROM cut LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+# Lengths by the template: the start marker, the turn's markers, a backslash for each control string.
+_CONTROL = r"\\|</?s>|\[/?INST\]|<</?SYS>>|\[/?ROLE\]"
+CHAT_FORMAT = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+s AS (SELECT *, length(text) + len(regexp_extract_all(text, '{_CONTROL}')) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 WHEN 'system' THEN 17
+          ELSE 16 + length(role) + len(regexp_extract_all(role, '\n|{_CONTROL}')) END AS chars,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM t)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(chars))::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id"""
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id AS id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT id, label, v FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY label, v) = 1),
+s AS (SELECT a.id AS a, b.id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS s FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 100 = 0),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b))::INT AS rank, s.b AS negative_id,
+       p.s AS positive_score, s.s AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT same AND 30 * p.s <= 100 * s.s AND 100 * s.s <= 90 * p.s
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) <= 10"""
+
+# crc32 of a decimal number, bit by bit: a byte is xored in, then eight shifts.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1),
+    lambda i: [ascii({0}[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+# Nodes by grouping every prefix, named by its turns' digests; subtrees by the prefixes of a name.
+PREFIX_TRIE = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, md5(length(r) || ':' || r || x) AS k, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w FROM t),
+p AS (SELECT conv_id, k, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS p FROM k),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC.format('(conv_id::VARCHAR)')} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+again AS (SELECT c.conv_id, 0 AS part, p, k, w FROM c JOIN p ON p.conv_id = c.base AND p <= h UNION ALL
+          SELECT c.conv_id, 1, p, k, w FROM c JOIN p ON p.conv_id = c.conv_id AND p > h),
+d AS (SELECT conv_id, k, w, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d FROM again),
+pre AS (SELECT conv_id, d, w, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY d) AS key FROM d
+        UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+size AS (SELECT conv_id, max(d) AS size FROM pre GROUP BY conv_id),
+node AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w,
+                string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = size) AS ends
+         FROM pre JOIN size USING (conv_id) GROUP BY key, d),
+kids AS (SELECT left(key, 32 * (d - 1)) AS key, count(*) AS kids FROM node WHERE d > 0 GROUP BY 1),
+below AS (SELECT left(key, 32 * a) AS key, sum((n - 1) * w) AS saved, count(*) FILTER (kids IS NULL) AS leaves
+          FROM (SELECT key, n, w, kids, unnest(range(d + 1)) AS a FROM node LEFT JOIN kids USING (key)) GROUP BY 1)
+SELECT node.conv_id, node.d::BIGINT AS depth, up.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(kids, 0)::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node LEFT JOIN kids USING (key) JOIN below USING (key) LEFT JOIN node up ON node.d > 0 AND up.key = left(node.key, 32 * (node.d - 1))"""

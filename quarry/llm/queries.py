@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, licenses, lines, nbsvm, neardup, oracles, packing, pii, rules, secrets, toxicity
+from quarry.llm import (
+    chat, decontaminate, hard_negatives, licenses, lines, nbsvm, neardup, oracles, packing, pii, prefix_trie, rules,
+    secrets, toxicity,
+)
 from quarry.sources.tables import table
 
 
@@ -60,6 +63,21 @@ def op10_decontamination(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_chat_format(spark, folder):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, folder, "conversations").select(*[F.col(c).cast(t) for c, t in extra.dtypes]).unionByName(extra)
+    return chat.read_back(chat.format_chats(chat.replies(rows))).withColumnRenamed("tree", "conv_id").drop("leaf")
+
+
+def op12_hard_negatives(spark, folder):
+    return hard_negatives.mine(hard_negatives.scaled_rows(table(spark, folder, "embeddings")), F.col("id") % 100 == 0)
+
+
+def op13_prefix_trie(spark, folder):
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -71,6 +89,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_personal_data": op9_personal_data,
     "op10_decontamination": op10_decontamination,
+    "op11_chat_format": op11_chat_format,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 # The others hold trained models or a tokenizer; tests/llm has them against brute force.
 ORACLE: dict[str, str] = {
@@ -78,4 +99,7 @@ ORACLE: dict[str, str] = {
     "op6_secret_scan": oracles.SECRETS,
     "op8_near_duplicates": oracles.NEAR_DUPLICATES,
     "op10_decontamination": oracles.DECONTAMINATION,
+    "op11_chat_format": oracles.CHAT_FORMAT,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
 }
