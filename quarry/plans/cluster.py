@@ -8,6 +8,9 @@ force.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import euclidean
@@ -113,9 +116,13 @@ def _tree(spark, folder, method):
     return LK.fit_hierarchy(cut_lineage(_scaled(spark, folder).select("id", "features")), method)
 
 
+def _rounded(merges):
+    return merges.select("step", "left", "right", F.round("height", 9).alias("height"), "size")
+
+
 def _linkage(method):
     def run(spark, folder):
-        return _tree(spark, folder, method)
+        return _rounded(_tree(spark, folder, method))
     return run
 
 
@@ -129,7 +136,7 @@ def q_cluster_sizes(spark, folder):
 
 
 def q_last_merges(spark, folder):
-    return LK.last_merges(_tree(spark, folder, "ward"), 35)
+    return _rounded(LK.last_merges(_tree(spark, folder, "ward"), 35))
 
 
 def q_baseline_errors(spark, folder):
@@ -137,7 +144,7 @@ def q_baseline_errors(spark, folder):
     rows = None
     for name, assign in (("kmeans", _kmeans(spark, folder)[0]), ("kmedoids", _kmedoids(spark, folder)[0])):
         err = EV.mean_centroid_error(pts.join(assign.select("id", "cluster"), "id"))
-        row = err.select(F.lit(name).alias("algorithm"), F.lit(K).alias("k"), "error")
+        row = err.select(F.lit(name).alias("algorithm"), F.lit(K).alias("k"), F.round("error", 9).alias("error"))
         rows = row if rows is None else rows.unionByName(row)
     return rows
 
@@ -160,39 +167,50 @@ def q_linkage_sweep(spark, folder):
     stacked, at_k = None, {}
     for method in LK.METHODS:
         cuts = LK.cut_many(pts.select("id"), LK.fit_hierarchy(pts, method), KS, n)
-        at_k[method] = cut_lineage(cuts[K])
         for k in KS:
-            part = cuts[k].withColumn("key", F.lit(f"{method}:{k}"))
+            part = cuts[k].select(F.lit(method).alias("method"), F.lit(k).alias("k"), "id", "cluster")
             stacked = part if stacked is None else stacked.unionByName(part)
-    errors = {r["key"]: r["error"] for r in _keyed_errors(stacked.join(pts, "id")).collect()}  # one row per cell
+    stacked = cut_lineage(stacked)
+    keyed = stacked.withColumn("key", F.concat_ws(":", "method", "k")).join(pts, "id")
+    errors = {r["key"]: r["error"] for r in _keyed_errors(keyed).collect()}  # one row per cell
+    at_k = stacked.where(F.col("k") == K)
+    others = reduce(DataFrame.unionByName, [f.select(F.lit(name).alias("base"), "id", F.col("cluster").alias("c2")) for name, f in base.items()])
+    both = at_k.join(others, "id").select("method", "base", F.col("cluster").alias("c1"), "c2")
+    aris = {(r["method"], r["base"]): r["ari"] for r in EV.adjusted_rand_by(both, ["method", "base"]).collect()}
     rows = []
     for method in LK.METHODS:
-        cut = at_k[method]
-        sil = EV.silhouette(cut.join(pts, "id")).first()["silhouette"]
-        aris = [EV.adjusted_rand(base[name], cut).first()["ari"] for name in ("kmeans", "kmedoids")]
-        rows += [(method, k, errors[f"{method}:{k}"], *((sil, *aris) if k == K else (None, None, None))) for k in KS]
-    return spark.createDataFrame(rows, "method string, k int, mean_centroid_error double, silhouette_k5 double, "
-                                       "ari_vs_kmeans_k5 double, ari_vs_kmedoids_k5 double")
+        sil = EV.silhouette(at_k.where(F.col("method") == method).select("id", "cluster").join(pts, "id")).first()["silhouette"]
+        at = (sil, aris[method, "kmeans"], aris[method, "kmedoids"])
+        rows += [(method, k, errors[f"{method}:{k}"], *(at if k == K else (None, None, None))) for k in KS]
+    out = spark.createDataFrame(rows, "method string, k int, mean_centroid_error double, silhouette_k5 double, "
+                                      "ari_vs_kmeans_k5 double, ari_vs_kmedoids_k5 double")
+    return out.select("method", "k", *[F.round(c, 9).alias(c) for c in out.columns[2:]])
 
 
 def q_clustering_sweep(spark, folder):
-    """X-6: k-means and k-medoids on every (noise, k) cell.  The k-means fits are
-    independent Spark jobs, several at a time; all k-medoids runs of a noise level advance in
-    the same jobs."""
+    """X-6: k-means and k-medoids on every (noise, k) cell.  All runs of all cells advance
+    together: one aggregate an iteration for k-means, one set of jobs a round for k-medoids."""
     raw = cut_lineage(customer_points(spark, folder).select("id", "features"))
     stats = cut_lineage(SC.column_stats(raw, DIMS))
-    rows = []
-    for level in NOISE:
+    noisy = []
+    for cell, level in enumerate(NOISE):
         pts = SC.add_noise(raw, level, DIMS, SEED) if level else raw.withColumn("changed", F.lit(False))
-        pts = cut_lineage(SC.standardize(pts, stats))
-        changed = pts.where("changed").count()
-        fits = PT.kmeans_costs(pts, KS, SEED)
-        rows += [("kmeans", level, k, changed, *fits[k]) for k in KS]
-        cells = pts.select(F.explode(F.array(*[F.lit(k) for k in KS])).alias("cell"), "id", "features")
-        _, _, costs = PT.kmedoids_runs(cells, {k: k for k in KS}, 4, SEED)
-        rows += [("kmedoids", level, r["cell"], changed, r["error"], r["objective"]) for r in costs.collect()]
+        noisy.append(SC.standardize(pts, stats).select(F.lit(cell).alias("noise"), "id", "features", "changed"))
+    noisy = cut_lineage(reduce(DataFrame.unionByName, noisy))
+    changed = {r["noise"]: r["n"] for r in noisy.groupBy("noise").agg(F.count_if("changed").alias("n")).collect()}
+    fits = PT.kmeans_runs(noisy.select(F.col("noise").alias("cell"), "id", "features"), {c: KS for c in range(len(NOISE))}, SEED)
+    rows = [("kmeans", NOISE[c], k, changed[c], error, cost) for (c, k), (_, cost, error, _) in fits.items()]
+    grid = {c * 100 + k: (c, k) for c in range(len(NOISE)) for k in KS}  # a cell of the k-medoids runs
+    cells = noisy.select(F.explode(F.array(*[F.lit(k) for k in KS])).alias("k"), "noise", "id", "features").select(
+        (F.col("noise") * 100 + F.col("k")).alias("cell"), "id", "features")
+    _, _, costs = PT.kmedoids_runs(cells, {g: k for g, (_, k) in grid.items()}, 4, SEED)
+    for r in costs.collect():
+        c, k = grid[r["cell"]]
+        rows.append(("kmedoids", NOISE[c], k, changed[c], r["error"], r["objective"]))
     return spark.createDataFrame(rows, "algorithm string, noise_fraction double, k int, changed_objects long, "
-                                       "mean_euclidean_error double, algorithm_objective double")
+                                       "mean_euclidean_error double, algorithm_objective double").select(
+        "algorithm", "noise_fraction", "k", "changed_objects", F.round("mean_euclidean_error", 9).alias("mean_euclidean_error"),
+        F.round("algorithm_objective", 6).alias("algorithm_objective"))
 
 
 QUERIES = {
@@ -253,7 +271,125 @@ _MEDOIDS = _EMB + """,
 own AS (SELECT id, label, sum(d) AS ds FROM pairs WHERE olabel = label GROUP BY id, label),
 med AS (SELECT label, arg_min(id, (ds, id)) AS id, min(ds) AS ds FROM own GROUP BY label)"""
 
+# Points as lists of z-scores, by id.
+_Z = _POINTS + """,
+z AS (SELECT id, list((x - m) / CASE WHEN s = 0 THEN 1 ELSE s END ORDER BY j) AS f FROM lng JOIN st USING (j) GROUP BY id)"""
+
+
+def _pair_merges(reduce_sql, dist, m):
+    """Agglomeration over the table of all cluster pairs (d, number of point pairs n): in each
+    round all mutually nearest clusters merge; ``near`` has every round's neighbours."""
+    near = f"SELECT round, a, arg_min(b, ({dist}, b)) AS b, min({dist}) AS h, any_value(na) AS na FROM {{}} GROUP BY round, a"
+    cur = f"cur_{m}"
+    return f"""{cur} AS (SELECT 0 AS round, x.id AS a, y.id AS b, list_distance(x.f, y.f) AS d, 1::BIGINT AS n, 1::BIGINT AS na FROM z x JOIN z y ON x.id <> y.id
+  UNION ALL
+  SELECT * FROM (WITH near AS ({near.format(cur)}),
+    pair AS (SELECT x.a AS l, y.a AS r, x.na + y.na AS size FROM near x JOIN near y ON y.a = x.b AND x.a = y.b WHERE x.a < y.a),
+    moved AS (SELECT l AS c, l AS t, size FROM pair UNION ALL SELECT r, l, size FROM pair)
+    SELECT round + 1, coalesce(p.t, a) AS a, coalesce(q.t, b) AS b, {reduce_sql} AS d, sum(n)::BIGINT AS n, any_value(coalesce(p.size, na)) AS na
+    FROM {cur} LEFT JOIN moved p ON p.c = a LEFT JOIN moved q ON q.c = b
+    WHERE coalesce(p.t, a) <> coalesce(q.t, b) GROUP BY round, coalesce(p.t, a), coalesce(q.t, b))),
+near_{m} AS ({near.format(cur)}),
+merges_{m} AS (SELECT x.round, x.a AS l, y.a AS r, x.h, x.na + y.na AS size FROM near_{m} x JOIN near_{m} y ON x.round = y.round AND y.a = x.b AND x.a = y.b WHERE x.a < y.a)"""
+
+
+# Ward's clusters by centroid and size; neighbours are measured anew in each round.
+_WARD_NEAR = """SELECT x.round, x.a, arg_min(y.a, (sqrt(2.0 * x.n * y.n / (x.n + y.n)) * list_distance(x.f, y.f), y.a)) AS b,
+       min(sqrt(2.0 * x.n * y.n / (x.n + y.n)) * list_distance(x.f, y.f)) AS h, any_value(x.n) AS n, any_value(x.f) AS f
+FROM {0} x JOIN {0} y ON x.round = y.round AND x.a <> y.a GROUP BY x.round, x.a"""
+_WARD = f"""cur_ward AS (SELECT 0 AS round, id AS a, f, 1::BIGINT AS n FROM z
+  UNION ALL
+  SELECT * FROM (WITH near AS ({_WARD_NEAR.format('cur_ward')})
+    SELECT x.round + 1, x.a, CASE WHEN y.b = x.a THEN list_transform(list_zip(x.f, y.f), lambda p: (p[1] * x.n + p[2] * y.n) / (x.n + y.n)) ELSE x.f END,
+           CASE WHEN y.b = x.a THEN x.n + y.n ELSE x.n END
+    FROM near x JOIN near y ON y.a = x.b WHERE NOT (y.b = x.a AND x.a > y.a))),
+near_ward AS ({_WARD_NEAR.format('cur_ward')}),
+merges_ward AS (SELECT x.round, x.a AS l, y.a AS r, x.h, x.n + y.n AS size FROM near_ward x JOIN near_ward y ON x.round = y.round AND y.a = x.b AND x.a = y.b WHERE x.a < y.a)"""
+_STEPS = """SELECT row_number() OVER (ORDER BY h, round, l) AS step, l AS "left", r AS "right", round(h, 9) AS height, size FROM merges_{}"""
+_MERGES = {"single": _pair_merges("min(d)", "d", "single"), "complete": _pair_merges("max(d)", "d", "complete"),
+           "average": _pair_merges("sum(d)", "d / n", "average"), "ward": _WARD}
+
+
+def _cut(k):
+    """Clusters of Ward's tree after all but the last k - 1 merges, numbered by smallest id."""
+    return f"""{_Z},
+{_WARD},
+steps AS ({_STEPS.format('ward')}),
+up AS (SELECT id, id AS top FROM z UNION ALL SELECT up.id, steps."left" FROM up JOIN steps ON steps."right" = up.top
+       WHERE steps.step <= (SELECT count(*) FROM z) - {k}),
+cut AS (SELECT id, dense_rank() OVER (ORDER BY min(top)) AS cluster FROM up GROUP BY id)"""
+
+
+# Lloyd's iterations, as many as any run needs; a run at its fixed point stays there.
+_MEAN = "[" + ", ".join(f"avg(f[{j + 1}])" for j in range(DIMS)) + "]"
+_KMEANS = f"""cen AS (SELECT 0 AS i, start, row_number() OVER (PARTITION BY start ORDER BY md5('{SEED}:' || start || ':' || id)) AS q, f
+        FROM z, range(10) t(start) QUALIFY row_number() OVER (PARTITION BY start ORDER BY md5('{SEED}:' || start || ':' || id)) <= {K}
+  UNION ALL
+  SELECT i + 1, start, q, {_MEAN} FROM (
+    SELECT i, start, id, any_value(z.f) AS f, arg_min(q, (list_distance(z.f, cen.f), q)) AS q FROM cen, z WHERE i < 120 GROUP BY i, start, id)
+  GROUP BY i, start, q),
+near_mean AS (SELECT start, id, arg_min(q, (list_distance(z.f, cen.f), q)) AS q, min(list_distance(z.f, cen.f)) AS d
+           FROM cen, z WHERE i = 120 GROUP BY start, id),
+best_mean AS (SELECT arg_min(start, (round(c, 9), start)) AS start FROM (SELECT start, sum(d * d) AS c FROM near_mean GROUP BY start)),
+kmeans AS (SELECT id, dense_rank() OVER (ORDER BY first) AS cluster
+           FROM (SELECT id, min(id) OVER (PARTITION BY q) AS first FROM near_mean JOIN best_mean USING (start)))"""
+
+# k-medoids: nearest medoid, then each cluster's member with the least distance sum.
+_KMEDOIDS = f"""far AS MATERIALIZED (SELECT x.id, y.id AS o, list_distance(x.f, y.f) AS d FROM z x, z y),
+med AS (SELECT 0 AS i, run, row_number() OVER (PARTITION BY run ORDER BY md5('{SEED}:' || run || ':' || id)) AS q, id
+        FROM z, range(4) t(run) QUALIFY row_number() OVER (PARTITION BY run ORDER BY md5('{SEED}:' || run || ':' || id)) <= {K}
+  UNION ALL
+  SELECT * FROM (WITH own AS (SELECT i, run, far.id, arg_min(q, (d, q)) AS q FROM med JOIN far ON far.o = med.id WHERE i < 40 GROUP BY i, run, far.id),
+    total AS (SELECT x.i, x.run, x.q, x.id, sum(d) AS s FROM own x JOIN own y ON x.run = y.run AND x.q = y.q JOIN far ON far.id = x.id AND far.o = y.id
+              GROUP BY x.i, x.run, x.q, x.id)
+    SELECT i + 1, run, q, arg_min(id, (s, id)) FROM total GROUP BY i, run, q)),
+placed AS (SELECT run, far.id, arg_min(q, (d, q)) AS q, min(d) AS d FROM med JOIN far ON far.o = med.id WHERE i = 40 GROUP BY run, far.id),
+best AS (SELECT arg_min(run, (c, run)) AS run FROM (SELECT run, sum(d) AS c FROM placed GROUP BY run)),
+kmedoids AS (SELECT id, dense_rank() OVER (ORDER BY first) AS cluster
+             FROM (SELECT id, min(id) OVER (PARTITION BY q) AS first FROM placed JOIN best USING (run)))"""
+
+# Every cut of every tree, measured against its centroids and the two partitionings.
+_STACKED = " UNION ALL ".join(f"SELECT '{m}' AS method, * FROM ({_STEPS.format(m)})" for m in _MERGES)
+_CENTROID_ERROR = """mean AS (SELECT {0}, i, avg(f[i]) AS m FROM {1} JOIN z USING (id), range(1, {2}) t(i) GROUP BY {0}, i),
+err AS (SELECT {3}, avg(e) AS error FROM (SELECT {0}, id, sqrt(sum((f[i] - m) ** 2)) AS e FROM {1} JOIN z USING (id) JOIN mean USING ({0}) GROUP BY {0}, id) GROUP BY {3})"""
+_BASELINE = f"""WITH RECURSIVE {_Z}, {_KMEANS}, {_KMEDOIDS},
+base AS (SELECT 'kmeans' AS algorithm, * FROM kmeans UNION ALL SELECT 'kmedoids', * FROM kmedoids),
+{_CENTROID_ERROR.format('algorithm, cluster', 'base', DIMS + 1, 'algorithm')}
+SELECT algorithm, {K}::INT AS k, round(error, 9) AS error FROM err"""
+_LINKAGE_SWEEP = f"""WITH RECURSIVE {_Z}, {", ".join(_MERGES.values())}, {_KMEANS}, {_KMEDOIDS},
+steps AS MATERIALIZED ({_STACKED}),
+up AS (SELECT method, k, id, id AS top FROM z, (SELECT DISTINCT method FROM steps), range({KS[0]}, {KS[-1] + 1}) t(k)
+       UNION ALL SELECT up.method, k, id, steps."left" FROM up JOIN steps ON steps.method = up.method AND steps."right" = up.top
+       WHERE steps.step <= (SELECT count(*) FROM z) - k),
+cut AS MATERIALIZED (SELECT method, k, id, min(top) AS cluster FROM up GROUP BY method, k, id),
+{_CENTROID_ERROR.format('method, k, cluster', 'cut', DIMS + 1, 'method, k')},
+five AS (SELECT method, id, cluster FROM cut WHERE k = {K}),
+sums AS (SELECT x.method, x.id, x.cluster = y.cluster AS own, y.cluster, sum(far.d) AS s, count(*) AS c
+         FROM five x JOIN far ON far.id = x.id JOIN five y ON y.id = far.o AND y.method = x.method GROUP BY x.method, x.id, x.cluster = y.cluster, y.cluster),
+ab AS (SELECT method, id, max(c) FILTER (own) - 1 AS mates, max(CASE WHEN c > 1 THEN s / (c - 1) END) FILTER (own) AS a, min(s / c) FILTER (NOT own) AS b
+       FROM sums GROUP BY method, id),
+sil AS (SELECT method, avg(CASE WHEN mates = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS sil FROM ab GROUP BY method),
+base AS (SELECT 'kmeans' AS base, id, cluster AS c2 FROM kmeans UNION ALL SELECT 'kmedoids', id, cluster FROM kmedoids),
+cont AS (SELECT method, base, cluster AS c1, c2, count(*)::HUGEINT AS nij FROM five JOIN base USING (id) GROUP BY method, base, cluster, c2),
+sq AS (SELECT method, base, sum(nij) AS n, sum(nij * nij) AS sq FROM cont GROUP BY method, base),
+ra AS (SELECT method, base, sum(a * a) AS sa FROM (SELECT method, base, sum(nij) AS a FROM cont GROUP BY method, base, c1) GROUP BY method, base),
+cb AS (SELECT method, base, sum(b * b) AS sb FROM (SELECT method, base, sum(nij) AS b FROM cont GROUP BY method, base, c2) GROUP BY method, base),
+pc AS (SELECT method, base, sq - n AS tp, sb - sq AS fp, sa - sq AS fn, n * n - (sb - sq) - (sa - sq) - sq AS tn FROM sq JOIN ra USING (method, base) JOIN cb USING (method, base)),
+ari AS (SELECT method, base, CASE WHEN fn = 0 AND fp = 0 THEN 1.0 ELSE 2.0 * (tp * tn - fn * fp)::DOUBLE / ((tp + fn) * (fn + tn) + (tp + fp) * (fp + tn))::DOUBLE END AS ari FROM pc)
+SELECT method, k::INT AS k, round(error, 9) AS mean_centroid_error, CASE WHEN k = {K} THEN round(sil, 9) END AS silhouette_k5,
+       CASE WHEN k = {K} THEN round(x.ari, 9) END AS ari_vs_kmeans_k5, CASE WHEN k = {K} THEN round(y.ari, 9) END AS ari_vs_kmedoids_k5
+FROM err JOIN sil USING (method) JOIN ari x USING (method) JOIN ari y USING (method) WHERE x.base = 'kmeans' AND y.base = 'kmedoids'"""
+
+
 ORACLE = {
+    "baseline_errors": _BASELINE,
+    "linkage_sweep": _LINKAGE_SWEEP,
+    **{f"linkage_{m}": f"WITH RECURSIVE {_Z}, {sql} {_STEPS.format(m)}" for m, sql in _MERGES.items()},
+    "last_merges": f"WITH RECURSIVE {_Z}, {_WARD} {_STEPS.format('ward')} QUALIFY row_number() OVER (ORDER BY h DESC, round DESC, l DESC) <= 35",
+    "cut_tree": f"WITH RECURSIVE {_cut(K)} SELECT id, cluster FROM cut",
+    "cluster_sizes": f"WITH RECURSIVE {_cut(K)} SELECT cluster, count(*) AS size FROM cut GROUP BY cluster",
+    "kmeans": f"WITH RECURSIVE {_Z}, {_KMEANS} SELECT id, cluster FROM kmeans",
+    "kmedoids": f"WITH RECURSIVE {_Z}, {_KMEDOIDS} SELECT id, cluster FROM kmedoids",
     "standardize": f"""WITH {_POINTS}
 SELECT id, feature, round((x - m) / CASE WHEN s = 0 THEN 1 ELSE s END, 9) AS z FROM lng JOIN st USING (j)""",
     "add_noise": f"""WITH {_POINTS},
