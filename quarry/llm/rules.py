@@ -2,14 +2,17 @@
 
 Each rule looks at a few statistics of the whole text and votes *good*, votes *bad* or
 abstains.  No rule decides alone: expectation-maximisation over the vote patterns of all
-documents estimates, without labels, how often each rule casts each vote on good and on
-bad documents, and the posterior probability of *good* replaces an all-must-pass filter.
+documents that pass the fixed base test estimates, without labels, how often each rule casts
+each vote on good and on bad ones, and the posterior probability of *good* replaces an
+all-must-pass filter.  (Over all documents the bad class would be the short and empty ones,
+which the base test removes anyway, and no rule would be left to tell the others apart.)
 
 A vote pattern has one of 3^R values, so the table of pattern counts that EM works on is
 bounded whatever the corpus (EM runs on the driver on at most 3^R rows); the statistics
 are one map over the texts and the posterior is one column expression.
 
-Defined cases: a null or empty text has no words, hence ``base_failed`` and not kept;
+Defined cases: where no document passes the base test the posterior is that of the starting
+rates; a null or empty text has no words, hence ``base_failed`` and not kept;
 repeated rows and ids are judged row by row; an empty table gives an empty result;
 columns other than the id and the text are not read.
 """
@@ -131,6 +134,11 @@ def votes(stats: DataFrame, rules=RULES) -> DataFrame:
     return stats.withColumn("pattern", F.concat(*digits))
 
 
+def _starting_rates(rules: int) -> np.ndarray:
+    """rate[rule, class (bad, good), vote]: rules better than chance."""
+    return np.tile(np.array([[0.34, 0.33, 0.33], [0.2, 0.78, 0.02]]), (rules, 1, 1))
+
+
 def fit_votes(patterns: list[tuple[str, int]], rounds: int = 200, prior_good: float = 0.8,
               smoothing: float = 1.0) -> tuple[float, np.ndarray]:
     """EM for two hidden classes: returns (P(good), table[rule, class, vote]).
@@ -139,7 +147,7 @@ def fit_votes(patterns: list[tuple[str, int]], rounds: int = 200, prior_good: fl
     stronger ones; the start only names the two classes, the counts then set the values.
     """
     rules = len(patterns[0][0]) if patterns else 0
-    shape = np.tile(np.array([[0.34, 0.33, 0.33], [0.2, 0.78, 0.02]]), (rules, 1, 1))
+    shape = _starting_rates(rules)
     if not patterns:
         return prior_good, shape
     patterns = sorted(patterns)
@@ -157,6 +165,8 @@ def fit_votes(patterns: list[tuple[str, int]], rounds: int = 200, prior_good: fl
         shape /= shape.sum(2, keepdims=True)
         if abs(prior - old) < 1e-10:
             break
+    if shape[:, 0, 2].sum() < shape[:, 1, 2].sum():  # the bad class is the one that gets the bad votes
+        prior, shape = 1 - prior, shape[:, ::-1].copy()
     return prior, shape
 
 
@@ -168,16 +178,15 @@ def _posterior(digits: np.ndarray, prior: float, shape: np.ndarray) -> np.ndarra
 
 def quality(docs: DataFrame, rules=RULES, threshold: float = 0.5) -> DataFrame:
     """Statistics, ``base_failed``, posterior ``quality`` and ``kept`` per document row."""
-    table = cut_lineage(votes(statistics(docs), rules))
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    table = cut_lineage(votes(statistics(docs), rules).withColumn("base_failed", failed))
     # at most 3^len(rules) rows
-    counted = [(r["pattern"], r["n"]) for r in table.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()]
-    prior, shape = fit_votes(counted)
+    counted = [(r["pattern"], r["n"]) for r in table.where(~F.col("base_failed")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()]
+    prior, shape = fit_votes(counted) if counted else (0.8, _starting_rates(len(rules)))
     log_odds = F.lit(math.log(prior / (1 - prior)))
     for i in range(len(rules)):
         weight = [float(math.log(shape[i, 1, v] / shape[i, 0, v])) for v in range(3)]
         digit = F.substring("pattern", i + 1, 1)
         log_odds = log_odds + F.when(digit == "1", weight[1]).when(digit == "2", weight[2]).otherwise(weight[0])
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return (table.withColumn("base_failed", failed)
-            .withColumn("quality", 1 / (1 + F.exp(-log_odds)))
+    return (table.withColumn("quality", 1 / (1 + F.exp(-log_odds)))
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)))

@@ -69,6 +69,59 @@ def test_votes_find_the_bad_rows_without_labels(spark):
     assert wrong <= 0.02 * len(rows)
 
 
+def brute_em(patterns, rounds=200):
+    """EM by plain loops over {pattern: count}: posterior of each pattern."""
+    n_rules = len(next(iter(patterns)))
+    rate = [[[0.34, 0.33, 0.33], [0.2, 0.78, 0.02]] for _ in range(n_rules)]
+    prior = 0.8
+    for _ in range(rounds + 1):
+        post = {}
+        for p in patterns:
+            good, bad = prior, 1 - prior
+            for r, v in enumerate(p):
+                good, bad = good * rate[r][1][int(v)], bad * rate[r][0][int(v)]
+            post[p] = good / (good + bad)
+        total = sum(patterns.values())
+        new = (sum(n * post[p] for p, n in patterns.items()) + 1) / (total + 2)
+        for r in range(n_rules):
+            for c in (0, 1):
+                mass = [1 + sum(n * (post[p] if c else 1 - post[p]) for p, n in patterns.items() if p[r] == str(v)) for v in range(3)]
+                rate[r][c] = [m / sum(mass) for m in mass]
+        prior, old = new, prior
+        if abs(prior - old) < 1e-10:
+            break
+    out = {}
+    for p in patterns:
+        good, bad = prior, 1 - prior
+        for r, v in enumerate(p):
+            good, bad = good * rate[r][1][int(v)], bad * rate[r][0][int(v)]
+        out[p] = good / (good + bad)
+    return out
+
+
+def test_posterior_against_a_plain_em(spark, small):
+    rows = rules.quality(small("documents")).collect()
+    passing = [r for r in rows if not r["base_failed"]]
+    want = brute_em(Counter(r["pattern"] for r in passing))
+    for r in passing:
+        assert abs(r["quality"] - want[r["pattern"]]) < 1e-6 and r["kept"] == (r["quality"] >= 0.5)
+
+
+def test_votes_decide_beyond_the_base(spark, small):
+    """Of the labelled rows that pass the base test, the bad ones go and the good ones stay."""
+    labels = {r["doc_id"]: r["quality"] for r in small("labels").collect()}
+    rows = [r for r in rules.quality(small("documents")).collect() if not r["base_failed"]]
+    bad, good = ([r["kept"] for r in rows if labels.get(r["doc_id"]) == q] for q in (0, 1))
+    assert bad and not any(bad) and sum(good) >= 0.98 * len(good)
+
+
+def test_rules_on_few_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert rules.quality(empty).collect() == []
+    rows = rules.quality(frame(spark, {1: None, 2: "", 3: "short"})).collect()  # none passes the base test
+    assert len(rows) == 3 and not any(r["kept"] for r in rows) and all(r["base_failed"] for r in rows)
+
+
 def test_em_recovers_accuracies():
     r = np.random.default_rng(2)
     good = r.random(20000) < 0.8
