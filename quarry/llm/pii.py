@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 from quarry.llm.spans import listing, matches
 
 # The base kinds with their fixed patterns, in the order of the report.  Look-behinds and
-# possessive parts only keep the search linear: they start a match where a leftmost match
-# of the plain pattern starts.
+# possessive parts only keep the search linear and off the stack: they start a match where a
+# leftmost match of the plain pattern starts, and nothing after them could be given back to.
 BASE = ("email", "ip", "card", "phone")
 PATTERNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
-    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "spelt_email": r"(?i)\b[a-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[a-z0-9-]{1,63}\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[a-z]{2,10}\b",
     "local_phone": r"(?<![0-9+.)-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
@@ -49,7 +49,7 @@ CUES = (("mail", r"(?i)mail|contact|write|courriel|correo"), ("call", r"(?i)phon
         ("identity", r"(?i)ssn|social|security|passport|identity|ausweis|dni"), ("bank", r"(?i)iban|bank|account|konto|cuenta|compte"),
         ("host", r"(?i)\bip\b|host|server|address|adresse"),
         ("number", r"(?i)version|isbn|order|part|invoice|serial|model|page|ticket|tracking|build|release|article|\bno\b|#"))
-BEFORE = 24
+LUHN_DIGITS = 40  # an account number has 34 at most
 _OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 
 
@@ -58,14 +58,16 @@ def digits_of(text: Column) -> Column:
 
 
 def luhn(digits: Column) -> Column:
-    """Whether a non-empty string of digits passes the Luhn check."""
+    """Whether a string of 1 to ``LUHN_DIGITS`` digits passes the Luhn check; longer ones, which
+    no number of this kind has, do not."""
     back = F.reverse(digits)
 
     def step(total, i):
         d = F.substring(back, i, 1).cast("int")
         return total + F.when(i % 2 == 0, F.when(d > 4, 2 * d - 9).otherwise(2 * d)).otherwise(d)
 
-    return (F.length(digits) > 0) & (F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1))), F.lit(0), step) % 10 == 0)
+    places = F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1)))
+    return F.when(F.length(digits).between(1, LUHN_DIGITS), F.aggregate(places, F.lit(0), step) % 10 == 0).otherwise(F.lit(False))
 
 
 def passes(kind: str, text: Column) -> Column:
@@ -92,13 +94,11 @@ def features(kind: int, text: Column, before: Column, after: Column) -> Column:
     return F.array(*[v.cast("double") for v in values])
 
 
-def _teller(text: Column, kind: str, rank: int):
+def _teller(kind: str, rank: int):
     def tell(m):
-        before = F.substring(text, F.greatest(m["start"] - BEFORE + 1, F.lit(1)).cast("int"), F.least(m["start"], F.lit(BEFORE)).cast("int"))
-        after = F.substring(text, (m["end"] + 1).cast("int"), F.lit(2))
         return F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"), F.lit(kind).alias("kind"),
                         (passes(kind, m["text"]) if kind in BASE else F.lit(False)).alias("base"),
-                        features(rank, m["text"], before, after).alias("x"))
+                        features(rank, m["text"], m["before"], m["after"]).alias("x"))
     return tell
 
 
@@ -112,7 +112,7 @@ def candidates(text: Column) -> Column:
         if kind == "card":  # shorter or longer digit groups are no kind of personal data here
             found = F.filter(found, lambda m: F.length(digits_of(m["text"])).between(13, 19))
 
-        parts.append(F.transform(found, _teller(text, kind, rank)))
+        parts.append(F.transform(found, _teller(kind, rank)))
     return F.concat(*parts)
 
 
@@ -248,16 +248,38 @@ def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
         F.round(probability(model, s["x"]), 6).alias("probability"))).alias("c"))
     chosen = scored.select("doc_id", F.filter("c", lambda s: s["base"] | (s["probability"] >= F.element_at(limits, s["rank"] + 1))).alias("c"))
 
-    def free(s):  # no base span and no likelier (then earlier, then lower-ranked) choice overlaps
+    def free(s, group):  # no base span and no likelier (then earlier, then lower-ranked) choice overlaps
         def beats(o):
             over = (o["start"] < s["end"]) & (s["start"] < o["end"])
             order = F.struct((~o["base"]).alias("b"), (-o["probability"]).alias("p"), o["start"].alias("s"), o["rank"].alias("r"))
             mine = F.struct((~s["base"]).alias("b"), (-s["probability"]).alias("p"), s["start"].alias("s"), s["rank"].alias("r"))
             return over & (order < mine)
-        return s["base"] | ~F.exists("c", beats)
+        return s["base"] | ~F.exists(group, beats)
 
     extra = F.exists("c", lambda s: ~s["base"])
-    return chosen.select("doc_id", F.when(extra, F.filter("c", free)).otherwise(F.col("c")).alias("spans"))
+    groups = _overlapping(F.array_sort("c"))
+    settled = F.flatten(F.transform(groups, lambda g: F.filter(g, lambda s: free(s, g))))
+    return chosen.select("doc_id", F.when(extra, settled).otherwise(F.col("c")).alias("spans"))
+
+
+_SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,base:boolean,probability:double>"
+
+
+def _overlapping(spans: Column) -> Column:
+    """Spans sorted by start, in groups none of which overlaps another.  Finished groups are put
+    away by the hundred, since appending copies an array."""
+    empty = F.expr(f"named_struct('far', cast(array() as array<array<array<{_SPAN}>>>), 'near', cast(array() as array<array<{_SPAN}>>), "
+                   f"'group', cast(array() as array<{_SPAN}>), 'reach', -1L)")
+
+    def step(acc, s):
+        joins = s["start"] < acc["reach"]
+        put = ~joins & (F.size(acc["near"]) >= 100)
+        near = F.when(joins, acc["near"]).when(put, F.array(acc["group"])).otherwise(F.concat(acc["near"], F.array(acc["group"])))
+        return F.struct(F.when(put, F.concat(acc["far"], F.array(acc["near"]))).otherwise(acc["far"]).alias("far"), near.alias("near"),
+                        F.when(joins, F.concat(acc["group"], F.array(s))).otherwise(F.array(s)).alias("group"),
+                        F.greatest(acc["reach"], s["end"]).alias("reach"))
+
+    return F.aggregate(spans, empty, step, lambda acc: F.concat(F.flatten(acc["far"]), acc["near"], F.array(acc["group"])))
 
 
 def report(found: DataFrame) -> DataFrame:
