@@ -131,27 +131,57 @@ def _levelwise(baskets: DataFrame, m: int) -> DataFrame:
     return result
 
 
-def itemset_levels(itemsets: DataFrame, distinct_items: int) -> DataFrame:
-    """A-3: (length, candidates, frequent) per level, as the level-wise search reports.
+def weakest_subsets(itemsets: DataFrame) -> DataFrame:
+    """(items, length, least): every set of 3 items or more all of whose subsets by one item are
+    among ``itemsets(items, length, count)``, with the least count of those subsets.
 
-    Level 1 candidates are all distinct items; level 2 candidates are all pairs of
-    frequent items; level k >= 3 candidates come from the prefix join + pruning of
-    the frequent (k-1)-sets.  The level after the last non-empty one is reported
+    A level-wise search at a minimum count m meets exactly the sets with least >= m as its
+    candidates, so one table serves every threshold, and all lengths are joined at once: on
+    the length and the common front, then with the counts of the other subsets.
+    """
+    known = itemsets.where(F.col("length") >= 2)
+    keyed = known.select("length", F.expr("slice(items, 1, length - 1)").alias("front"), F.element_at("items", -1).alias("last"), "items", "count")
+    left, right = keyed.alias("l"), keyed.alias("r")
+    pairs = left.join(right, (F.col("l.length") == F.col("r.length")) & (F.col("l.front") == F.col("r.front")) & (F.col("l.last") < F.col("r.last"))).select(
+        F.concat(F.col("l.items"), F.array(F.col("r.last"))).alias("items"), F.least(F.col("l.count"), F.col("r.count")).alias("parents"))
+    # a set without one of its last two items is one of the two parents
+    subsets = _drop_one_subsets(pairs).where(F.col("_drop") < F.size("items") - 2)
+    found = subsets.join(known.select(F.col("items").alias("_sub"), "count"), "_sub")
+    return (found.groupBy("items").agg(F.count(F.lit(1)).alias("_hits"), F.least(F.min("count"), F.min("parents")).alias("least"))
+            .where(F.col("_hits") == F.size("items") - 2).select("items", F.size("items").alias("length"), "least"))
+
+
+def support_levels(itemsets: DataFrame, distinct_items: int, minimums: dict) -> DataFrame:
+    """A-3 for many thresholds at once: (threshold, minimum_count, length, candidates, frequent)
+    per level, as a level-wise search at each minimum count reports.
+
+    ``itemsets`` hold all sets down to the least of ``minimums`` (threshold -> count).  Level 1
+    candidates are all distinct items; level 2 candidates are all pairs of frequent items; the
+    others come from ``weakest_subsets``.  The level after the last non-empty one is reported
     with 0 frequent sets.
     """
     spark = itemsets.sparkSession
-    per_length = {r["length"]: r["n"] for r in
-                  itemsets.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = [(1, distinct_items, per_length.get(1, 0))]
-    k = 2
-    while per_length.get(k - 1, 0) > 0:
-        if k == 2:
-            cands = comb(per_length[1], 2)
-        else:
-            cands = candidates(itemsets.where(F.col("length") == k - 1).select("items"), k).count()
-        rows.append((k, cands, per_length.get(k, 0)))
-        k += 1
-    return spark.createDataFrame(rows, "length long, candidates long, frequent long")
+    grid = F.broadcast(spark.createDataFrame([(str(t), int(m)) for t, m in minimums.items()], "threshold string, minimum_count long"))
+
+    def per_level(frame, count, name):  # (length, count) pairs first, then thresholds
+        few = frame.groupBy("length", F.col(count).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+        return few.join(grid, F.col("_c") >= F.col("minimum_count")).groupBy("threshold", "length").agg(F.sum("_n").alias(name))
+
+    frequent = {(r["threshold"], r["length"]): r["n"] for r in per_level(itemsets, "count", "n").collect()}  # thresholds x lengths
+    candidates = {(r["threshold"], r["length"]): r["n"] for r in per_level(weakest_subsets(itemsets), "least", "n").collect()}
+    rows = []
+    for t, m in minimums.items():
+        t, k = str(t), 1
+        while k == 1 or frequent.get((t, k - 1), 0) > 0:
+            cands = distinct_items if k == 1 else comb(frequent[t, 1], 2) if k == 2 else candidates.get((t, k), 0)
+            rows.append((t, int(m), k, cands, frequent.get((t, k), 0)))
+            k += 1
+    return spark.createDataFrame(rows, "threshold string, minimum_count long, length long, candidates long, frequent long")
+
+
+def itemset_levels(itemsets: DataFrame, distinct_items: int) -> DataFrame:
+    """A-3: (length, candidates, frequent) per level of the search that found ``itemsets``."""
+    return support_levels(itemsets, distinct_items, {"all": 0}).select("length", "candidates", "frequent")
 
 
 def itemset_length_hist(itemsets: DataFrame) -> DataFrame:

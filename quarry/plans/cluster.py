@@ -56,7 +56,7 @@ def q_add_noise(spark, folder):
 
 def q_pca2(spark, folder):
     pts = _scaled(spark, folder)
-    return SC.project_pca2(pts, SC.fit_pca2(pts))
+    return SC.project_pca2(pts, SC.fit_pca2(pts)).select("id", F.round("pc1", 7).alias("pc1"), F.round("pc2", 7).alias("pc2"))
 
 
 def _kmeans(spark, folder, k=K):
@@ -381,7 +381,23 @@ SELECT method, k::INT AS k, round(error, 9) AS mean_centroid_error, CASE WHEN k
 FROM err JOIN sil USING (method) JOIN ari x USING (method) JOIN ari y USING (method) WHERE x.base = 'kmeans' AND y.base = 'kmedoids'"""
 
 
+# Principal components by power iteration on the covariance, the second one on what the first leaves.
+_ROW = "list_transform({0}, lambda r: list_inner_product(r, v))"
+_STEP = "SELECT i + 1, list_transform(w, lambda x: x / sqrt(list_inner_product(w, w))) FROM (SELECT i, " + _ROW + " AS w FROM {1}, {2}) WHERE i < 3000"
+_SIGNED = "list_transform(v, lambda x: x * CASE WHEN list_max(v) < -list_min(v) THEN -1 ELSE 1 END)"
+_PCA = f"""WITH RECURSIVE {_Z},
+c AS (SELECT a AS i, b AS j, covar_samp(f[a], f[b]) AS c FROM z, range(1, {DIMS + 1}) s(a), range(1, {DIMS + 1}) t(b) GROUP BY a, b),
+m1 AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM c GROUP BY i)),
+p1 AS (SELECT 0 AS i, list_transform(range({DIMS}), lambda x: 1.0::DOUBLE + x / 10) AS v UNION ALL {_STEP.format('m', 'p1', 'm1')}),
+v1 AS MATERIALIZED (SELECT v, list_inner_product(v, {_ROW.format('m')}) AS l FROM p1, m1 WHERE i = 3000),
+m2 AS MATERIALIZED (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - l * v[i] * v[j])) AS m FROM m1, v1),
+p2 AS (SELECT 0 AS i, list_transform(range({DIMS}), lambda x: 1.0::DOUBLE - x / 3) AS v UNION ALL {_STEP.format('m', 'p2', 'm2')}),
+load AS (SELECT (SELECT {_SIGNED} FROM v1) AS a, (SELECT {_SIGNED} FROM p2 WHERE i = 3000) AS b)
+SELECT id, round(list_inner_product(f, a), 7) AS pc1, round(list_inner_product(f, b), 7) AS pc2 FROM z, load"""
+
+
 ORACLE = {
+    "pca2": _PCA,
     "baseline_errors": _BASELINE,
     "linkage_sweep": _LINKAGE_SWEEP,
     **{f"linkage_{m}": f"WITH RECURSIVE {_Z}, {sql} {_STEPS.format(m)}" for m, sql in _MERGES.items()},

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import itemsets as I
+from quarry.params import min_count
 from quarry.operators import rules as R
 from quarry.plans.inputs import joined, order_baskets
 
@@ -87,6 +88,12 @@ def q_support_sweep(spark, folder):
         F.col("frequent").cast("long").alias("frequent"))
 
 
+def q_support_levels(spark, folder):
+    baskets, n, found = _mined(spark, folder, "p_brand", support=SWEEP[0])
+    distinct = I.basket_items(baskets).select("item").distinct().count()
+    return I.support_levels(found, distinct, {t: min_count(t, n) for t in SWEEP})
+
+
 def _rule_rows(rules):
     return rules.select(joined("antecedent").alias("antecedent"), joined("consequent").alias("consequent"),
                         "rule", F.col("total_length").cast("long").alias("total_length"),
@@ -140,6 +147,7 @@ QUERIES = {
     "itemset_levels": q_itemset_levels,
     "itemset_length_hist": q_itemset_length_hist,
     "support_sweep": q_support_sweep,
+    "support_levels": q_support_levels,
     "association_rules": q_association_rules,
     "association_rules_25": q_association_rules_25,
     "association_rules_capped": q_association_rules_capped,
@@ -214,6 +222,7 @@ SELECT array_to_string(a, '|') AS antecedent, array_to_string(c, '|') AS consequ
 FROM rr, n"""
 
 
+_BASKETS = f"SELECT DISTINCT basket_id FROM ({_pairs('p_brand')})"
 ORACLE = {
     "baskets": f"""WITH pairs AS ({_pairs('p_brand')})
 SELECT basket_id, array_to_string(list_sort(list(item)), '|') AS items, count(*)::BIGINT AS n_items
@@ -232,6 +241,9 @@ FROM pairs, n GROUP BY item""",
     "itemsets_exhaustive": f"""WITH {_frequent_cte('p_brand', '0.01')}
 SELECT array_to_string(s, '|') AS items, len(s)::BIGINT AS length, cnt::BIGINT AS count FROM allc""",
     "itemset_levels": _levels_sql("p_type", "0.01"),
+    "support_levels": " UNION ALL ".join(
+        f"SELECT '{t}' AS threshold, (SELECT ceil(count(*) * {int(t[:-1]) / 100})::BIGINT FROM ({_BASKETS})) AS minimum_count, * "
+        f"FROM ({_levels_sql('p_brand', str(int(t[:-1]) / 100))})" for t in SWEEP),
     "itemset_length_hist": f"""WITH {_frequent_cte('p_type', '0.01')}
 SELECT len(s)::BIGINT AS length, count(*)::BIGINT AS itemsets FROM f GROUP BY len(s)""",
     "support_sweep": f"""WITH {_frequent_cte('p_brand', '0.01')},
