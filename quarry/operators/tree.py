@@ -101,11 +101,18 @@ def _quantile_probs(bins: int) -> list:
     return [i * step for i in range(1, bins + 1)]
 
 
-def _value_stats(frontier: DataFrame) -> DataFrame:
-    """(node, numeric feature, distinct value) counts with running and group totals."""
-    long = frontier.select("node_id", "_y", F.posexplode("_x").alias("fidx", "value"))
-    vals = long.groupBy("node_id", "fidx", "value").agg(F.count(F.lit(1)).alias("c"),
-                                                        F.sum("_y").alias("vp"))
+def _weighted(frontier: DataFrame) -> DataFrame:
+    """``frontier`` with the weight ``_w`` of each row (1 if it has none)."""
+    return frontier if "_w" in frontier.columns else frontier.withColumn("_w", F.lit(1).cast("long"))
+
+
+def _value_stats(frontier: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+    """(node, numeric feature, distinct value) counts with running and group totals; only of the
+    (node_id, feature_idx) of ``allowed``, if given."""
+    long = _weighted(frontier).select("node_id", "_y", "_w", F.posexplode("_x").alias("fidx", "value"))
+    if allowed is not None:
+        long = long.join(allowed.select("node_id", F.col("feature_idx").cast("int").alias("fidx")), ["node_id", "fidx"], "left_semi")
+    vals = long.groupBy("node_id", "fidx", "value").agg(F.sum("_w").alias("c"), F.sum(F.col("_w") * F.col("_y")).alias("vp"))
     vals = cut_lineage(vals)  # read for the totals and again for the running counts
     totals = vals.groupBy("node_id", "fidx").agg(
         F.sum("c").alias("n"), F.sum("vp").alias("p"), F.min("value").alias("lo"), F.max("value").alias("hi"),
@@ -114,7 +121,7 @@ def _value_stats(frontier: DataFrame) -> DataFrame:
     return stats.where(F.col("lo") < F.col("hi"))
 
 
-def numeric_candidates(frontier: DataFrame, bins: int) -> DataFrame:
+def numeric_candidates(frontier: DataFrame, bins: int, allowed: DataFrame | None = None) -> DataFrame:
     """Every (node, numeric feature, threshold) with its left counts.
 
     Quantile thresholds interpolate between the values at ranks ``floor(pos)`` and
@@ -122,7 +129,7 @@ def numeric_candidates(frontier: DataFrame, bins: int) -> DataFrame:
     rows left of a threshold are read off the running count at the same values, so no
     second pass over the data bins them.  0/1 features use 0.5.
     """
-    stats = _value_stats(frontier)
+    stats = _value_stats(frontier, allowed)
     binary = (stats.where((F.col("nonbin") == 0) & (F.col("value") == 0.0))
               .select("node_id", "fidx", F.lit(0.5).alias("threshold"), F.col("cum").alias("lc"),
                       F.col("cump").alias("lp"), "n", "p"))
@@ -189,9 +196,8 @@ def quantile_thresholds(frontier: DataFrame, bins: int) -> DataFrame:
 
 def category_candidates(frontier: DataFrame, nodes: DataFrame, encoder: Encoder) -> DataFrame:
     """Every (node, indicator) with its left (indicator 0) counts; threshold 0.5."""
-    cl = frontier.select("node_id", "_y", F.posexplode("_c").alias("cidx", "category"))
-    cs = cl.groupBy("node_id", "cidx", "category").agg(F.count(F.lit(1)).alias("rc"),
-                                                       F.sum("_y").alias("rp"))
+    cl = _weighted(frontier).select("node_id", "_y", "_w", F.posexplode("_c").alias("cidx", "category"))
+    cs = cl.groupBy("node_id", "cidx", "category").agg(F.sum("_w").alias("rc"), F.sum(F.col("_w") * F.col("_y")).alias("rp"))
     cs = cs.join(F.broadcast(nodes), "node_id").where(F.col("rc") < F.col("n"))
     cs = cs.join(encoder.vocab.select("cidx", "category", "feature_idx"), ["cidx", "category"])
     return cs.select("node_id", "feature_idx", F.lit(0.5).alias("threshold"),
@@ -199,19 +205,22 @@ def category_candidates(frontier: DataFrame, nodes: DataFrame, encoder: Encoder)
                      "n", "p", F.lit("cat").alias("kind"), F.col("cidx").cast("int").alias("idx"), "category")
 
 
-def scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles="exact") -> DataFrame:
-    """All split candidates of the frontier nodes with ``score`` and ``valid``."""
+def scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles="exact", allowed=None) -> DataFrame:
+    """All split candidates of the frontier nodes with ``score`` and ``valid``; ``allowed``
+    (node_id, feature_idx) limits the features of each node."""
     if quantiles not in ("exact", "approx"):
         raise ValueError("quantiles must be 'exact' or 'approx'")
-    numeric = numeric_candidates(frontier, bins) if quantiles == "exact" else approx_candidates(frontier, bins)
+    numeric = numeric_candidates(frontier, bins, allowed) if quantiles == "exact" else approx_candidates(frontier, bins)
     cands = numeric.unionByName(category_candidates(frontier, nodes, encoder))
+    if allowed is not None:
+        cands = cands.join(allowed.select("node_id", "feature_idx"), ["node_id", "feature_idx"], "left_semi")
     score = split_score(criterion, F.col("lc"), F.col("lp"), F.col("n"), F.col("p"))
     valid = (F.col("lc") >= min_leaf) & (F.col("n") - F.col("lc") >= min_leaf)
     return cands.withColumn("valid", valid).withColumn("score", score)
 
 
 def best_splits(frontier: DataFrame, nodes: DataFrame, encoder: Encoder, criterion: str,
-                min_leaf: int, bins: int, quantiles: str = "exact") -> DataFrame:
+                min_leaf: int, bins: int, quantiles: str = "exact", allowed: DataFrame | None = None) -> DataFrame:
     """M-4 for every node of a level: (node_id, feature_idx, kind, idx, category, threshold, score).
 
     Each feature's first maximum (highest score, then lowest threshold) is found by a map-side
@@ -219,7 +228,7 @@ def best_splits(frontier: DataFrame, nodes: DataFrame, encoder: Encoder, criteri
     best only when its score is larger by more than 1e-12.  A best score of MIN_SCORE or less
     is no split.
     """
-    cands = scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles).where("valid")
+    cands = scored_candidates(frontier, nodes, encoder, criterion, min_leaf, bins, quantiles, allowed).where("valid")
     item = F.struct("feature_idx", (-F.col("score")).alias("neg"), "threshold", "score", "kind", "idx", "category")
     # a feature's first maximum is all that can win: one row per (node, feature) is gathered
     per_feature = cands.groupBy("node_id", "feature_idx").agg(F.min(item).alias("best"))

@@ -7,16 +7,18 @@ the exact stratified split (share 0.8, seed 42) unless a sweep says otherwise.
 from __future__ import annotations
 
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarry.operators import encode as E
 from quarry.operators import forest as RF
+from quarry.operators import forest_exact as FX
 from quarry.operators import quality as Q
 from quarry.operators import split as S
 from quarry.operators import tree as T
 from quarry.plans import inputs as IN
 from quarry.plans.tree_sql import NODES as TREE_NODES
-from quarry.plans.tree_sql import tree_ctes
+from quarry.plans.tree_sql import forest_ctes, tree_ctes
 from quarry.session import cut_lineage
 
 # The published grids of the sweeps.
@@ -163,6 +165,33 @@ def q_feature_importance(spark, folder):
     return _forest(spark, folder, 100)[1]
 
 
+# A small forest for the queries that SQL follows step by step.
+EXACT = {"trees": 6, "max_depth": 4, "min_leaf": 40}
+
+
+def _exact_forest(spark, folder):
+    train, test = _train_test(spark, folder)
+    enc = E.fit_encoder(train, IN.NUMERIC, IN.CATEGORICAL)
+    return FX.grow_forest(train, IN.KEY, enc, IN.LABEL, seed=IN.SEED, **EXACT), test
+
+
+def q_forest_predict(spark, folder):
+    forest, test = _exact_forest(spark, folder)
+    return forest.predict(test, IN.KEY).select(IN.KEY, IN.LABEL, F.round("probability", 9).alias("probability"), "prediction")
+
+
+def q_forest_quality(spark, folder):
+    forest, test = _exact_forest(spark, folder)
+    return Q.quality(forest.predict(test, IN.KEY), IN.LABEL, "prediction")
+
+
+def q_forest_importance(spark, folder):
+    forest, _ = _exact_forest(spark, folder)
+    ranked = F.row_number().over(Window.orderBy(F.desc(F.round("importance", 9)), "feature"))  # one row a feature
+    return forest.importances(spark).select("feature", F.round("importance", 9).alias("importance"), ranked.alias("rank")).where(
+        F.col("rank") <= RF.TOP_FEATURES)
+
+
 def q_forest_size_sweep(spark, folder):
     """X-5: one tree as the baseline, then a forest of each size; with the train and test
     counts and each forest's most important feature."""
@@ -198,6 +227,9 @@ QUERIES = {
     "random_forest_quality": q_random_forest_quality,
     "feature_importance": q_feature_importance,
     "forest_size_sweep": q_forest_size_sweep,
+    "forest_predict": q_forest_predict,
+    "forest_quality": q_forest_quality,
+    "forest_importance": q_forest_importance,
 }
 
 # ---------------------------------------------------------------- SQL oracles
@@ -361,4 +393,16 @@ def _tree_oracles() -> dict[str, str]:
     }
 
 
-ORACLE |= _tree_oracles()
+def _forest_oracles() -> dict[str, str]:
+    width = "5 + (SELECT count(*) FROM vocab)"
+    ctes = forest_ctes(_SPLIT, _score_sql("gini"), EXACT["trees"], EXACT["max_depth"], EXACT["min_leaf"],
+                       f"floor(sqrt({width}))", width, IN.SEED, FX.CUMULATIVE)
+    return {
+        "forest_predict": f"WITH {ctes} SELECT row_key, label, round(probability, 9) AS probability, prediction FROM routed",
+        "forest_quality": f"WITH {ctes} SELECT * FROM quality",
+        "forest_importance": f"""WITH {ctes} SELECT feature, round(importance, 9) AS importance,
+       (row_number() OVER (ORDER BY round(importance, 9) DESC, feature))::INT AS rank FROM importance QUALIFY rank <= {RF.TOP_FEATURES}""",
+    }
+
+
+ORACLE |= _tree_oracles() | _forest_oracles()
