@@ -58,6 +58,9 @@ def fit_forest(train: DataFrame, test: DataFrame, numeric, categorical, label: s
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     model = rf.fit(data)
     data.unpersist()
+    # the training summary holds the session, which cannot be sent to tasks once it has observed
+    # a query; predictions need the trees only
+    model._java_obj.setSummary(train.sparkSession.sparkContext._jvm.scala.Option.apply(None))
     predictions = model.transform(prep.transform(test)).withColumn(
         "prediction", F.col("prediction").cast("int"))
     spark = train.sparkSession
