@@ -12,7 +12,7 @@ whole forest is one set of aggregates and its size is (rows x trees), not one jo
 * **Rows** carry their node from level to level; rows of leaves leave.
 * **Prediction.**  The mean over the trees of the leaf's share of positives; 1 above 0.5.
 * **Importance.**  A split adds its rows times its score to its feature; each tree's sum is
-  scaled to 1, trees are averaged.
+  scaled to 1, the trees that split at all are averaged.
 
 Driver and broadcasts hold nodes and splits only: at most trees x 2^depth rows, parameters.
 """
@@ -90,7 +90,8 @@ class Forest:
         split = self.node_table(spark).where(F.col("feature_idx").isNotNull())
         own = split.groupBy("tree", "feature_idx").agg(F.sum(F.col("count") * F.col("score")).alias("gain"))
         whole = own.groupBy("tree").agg(F.sum("gain").alias("all"))
-        mean = own.join(whole, "tree").groupBy("feature_idx").agg((F.sum(F.col("gain") / F.col("all")) / self.trees).alias("importance"))
+        grown = max(1, len({n[1] for n in self.nodes if n[5] is not None}))
+        mean = own.join(whole, "tree").groupBy("feature_idx").agg((F.sum(F.col("gain") / F.col("all")) / grown).alias("importance"))
         return mean.join(self.encoder.names(), "feature_idx").select("feature", "importance")
 
 

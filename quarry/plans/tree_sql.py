@@ -131,7 +131,7 @@ routed AS (SELECT row_key, any_value(label) AS label, sum(tree.p / tree.n) / {tr
            FROM test_last t JOIN tree USING (node_id) GROUP BY row_key),
 {_QUALITY},
 gain AS (SELECT node_id % {trees} AS t, feature_idx, sum(n * score) AS g FROM tree WHERE kind IS NOT NULL GROUP BY 1, 2),
-importance AS (SELECT feature, sum(g / whole) / {trees} AS importance
+importance AS (SELECT feature, sum(g / whole) / (SELECT count(DISTINCT t) FROM gain) AS importance
   FROM (SELECT *, sum(g) OVER (PARTITION BY t) AS whole FROM gain) JOIN ({names} UNION ALL SELECT feature_idx, ({_names(CATEGORICAL, 'cidx')}) || '=' || category
   FROM vocab) USING (feature_idx) GROUP BY feature)"""
 
