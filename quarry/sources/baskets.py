@@ -1,16 +1,26 @@
 """Basket sources (D1: basket_id LONG, items ARRAY<STRING> distinct and sorted).
 
 * ``baskets_from_facts`` builds baskets from any (key, item) fact table.
-* ``read_baskets`` reads a headerless ragged CSV file, one basket per line.
+* ``read_baskets`` reads a headerless ragged CSV file, one basket per record.
 """
 
 from __future__ import annotations
 
+import codecs
+import csv
+import io
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.running import dense_index
 from quarry.session import cut_lineage
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Python's str.strip() removes every Unicode whitespace character; Java's \s only
 # covers ASCII, so separators (\p{Z}), NEL and the file/group/record/unit
 # separators are added explicitly.  A UTF-8 byte-order mark is dropped as well.
@@ -54,40 +64,150 @@ def _is_utf8(spark: SparkSession, path: str) -> bool:
     return bool(lines.agg(F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))).first()[0])
 
 
+# ------------------------------------------------------------------ records of a split file
+
+def line_ends(line: str) -> tuple[int, int]:
+    """Whether a quoted field is open after ``line``, if none / if one was open before it.
+
+    A quote opens a field only at its beginning, and two quotes inside a quoted field are one
+    quote, so counting quotes is not enough.
+    """
+    out = []
+    for inside in (False, True):
+        fresh, i = not inside, 0
+        while i < len(line):
+            if inside:
+                i = line.find('"', i)
+                if i < 0:
+                    break
+                if line[i + 1:i + 2] == '"':
+                    i += 1
+                else:
+                    inside = False
+                fresh = False
+            elif line[i] == '"' and fresh:
+                inside, fresh = True, False
+            else:
+                fresh = line[i] == ","
+            i += 1
+        out.append(int(inside))
+    return out[0], out[1]
+
+
+def _located(batches, encoding: str):
+    """(file, block, text) of each line, in order; a byte-order mark at a file's begin is dropped."""
+    for batch in batches:
+        for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
+            text = value.decode(encoding)
+            yield file, block, text.removeprefix("\ufeff")
+
+
+def _block_ends(encoding: str):
+    """Per split: the open-field state after it and the records that begin in it, for either
+    state before it."""
+    def kernel(batches):
+        key, state, begun, done = None, [0, 1], [0, 0], []
+        for file, block, text in _located(batches, encoding):
+            if key != (file, block):
+                if key is not None:
+                    done.append((*key, *state, *begun))
+                key, state, begun = (file, block), [0, 1], [0, 0]
+            ends = line_ends(text)
+            begun = [n + (not s) for n, s in zip(begun, state)]
+            state = [ends[s] for s in state]
+        if key is not None:
+            done.append((*key, *state, *begun))
+        yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK_COLUMNS, d)) for d in done], schema=pa.schema(
+            [("file", pa.string()), *((c, pa.int64()) for c in _BLOCK_COLUMNS[1:])]))
+    return kernel
+
+
+_BLOCK_COLUMNS = ["file", "block", "after_closed", "after_open", "begun_closed", "begun_open"]
+
+
+def _records(encoding: str, starts: dict):
+    """The records of each split: (record, part, open, text).  ``part`` is the split's number; a
+    record that comes from or goes on to another split is ``open``."""
+    schema = pa.schema([("record", pa.int64()), ("part", pa.int64()), ("open", pa.bool_()), ("text", pa.string())])
+
+    def kernel(batches):
+        key, held, done = None, [], []
+
+        def close(number, part, is_open):
+            done.append({"record": number, "part": part, "open": is_open, "text": "\n".join(held)})
+            held.clear()
+
+        state = number = part = 0
+        whole = True  # the held record began in this split
+        for file, block, text in _located(batches, encoding):
+            if key != (file, block):
+                if held:
+                    close(number, part, True)
+                key = (file, block)
+                part, state, number = starts[key]
+                number -= 1
+                whole = not state
+            if not state:
+                number += 1
+                whole = True
+            held.append(text)
+            state = line_ends(text)[state]
+            if not state:
+                close(number, part, not whole)
+            if len(done) >= 5000:
+                yield pa.RecordBatch.from_pylist(done, schema=schema)
+                done.clear()
+        if held:
+            close(number, part, True)
+        yield pa.RecordBatch.from_pylist(done, schema=schema)
+    return kernel
+
+
+def _fields(batches):
+    schema = pa.schema([("record", pa.int64()), ("items", pa.list_(pa.string()))])
+    for batch in batches:
+        rows = []
+        for record, text in zip(batch.column("record").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            rows.append({"record": record, "items": [x for row in csv.reader(io.StringIO(text, newline="")) for x in row]})
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+def read_records(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """(record, items): the fields of each CSV record, numbered from 0 in file order (files in
+    name order); quoted fields may hold line breaks, also across file splits.
+
+    One scan finds, per split, which state a split leaves for either state it may begin in;
+    composing those few rows in order gives each split its state and first record number.  The
+    second scan cuts records; only those that cross a split are put together by a shuffle.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    ends = lines.mapInArrow(_block_ends(encoding), "file string, " + ", ".join(f"{c} long" for c in _BLOCK_COLUMNS[1:])).collect()
+    starts, state, number = {}, 0, 0
+    for part, r in enumerate(sorted(ends, key=lambda r: (r["file"], r["block"]))):  # one row a file split
+        state = state if r["block"] else 0
+        starts[r["file"], r["block"]] = (part, state, number)
+        number += r["begun_open"] if state else r["begun_closed"]
+        state = r["after_open"] if state else r["after_closed"]
+    cut = cut_lineage(lines.mapInArrow(_records(encoding, starts), "record long, part long, open boolean, text string"))
+    crossing = cut.where("open").groupBy("record").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("part", "text"))), lambda p: p["text"]), "\n").alias("text"))
+    whole = cut.where("not open").select("record", "text").unionByName(crossing)
+    return whole.mapInArrow(_fields, "record long, items array<string>")
+
+
 def read_baskets(spark: SparkSession, path: str, encoding: str = "auto") -> DataFrame:
-    """SRC-1: headerless CSV, one basket per line, UTF-8 (BOM allowed) else Windows-1251.
+    """SRC-1: headerless CSV, one basket per record, UTF-8 (BOM allowed) else Windows-1251.
 
-    Items are stripped, blanks and duplicates dropped; lines left empty are dropped.
-    The basket id is the 0-based position of the basket among non-empty lines of the
+    Items are stripped, blanks and duplicates dropped; records left empty are dropped.
+    The basket id is the 0-based position of the basket among non-empty records of the
     file (files are read in name order).  Raises when no basket remains.
     """
     if encoding == "auto":
         encoding = "UTF-8" if _is_utf8(spark, path) else "windows-1251"
-    # The widest line decides the schema; a quoted comma only over-counts, which
-    # adds an always-empty column.
-    width = (spark.read.text(path)
-             .agg(F.max(F.size(F.split("value", ",", -1)))).first()[0]) or 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    previous = spark.conf.get("spark.sql.legacy.javaCharsets", "false")
-    legacy = encoding.lower().replace("_", "-") not in ("utf-8", "utf8")
-    if legacy:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    try:
-        raw = (spark.read.schema(schema)
-               .option("header", "false").option("escape", '"').option("encoding", encoding)
-               .option("mode", "PERMISSIVE").csv(path))
-        lines = raw.select(canonical_items(F.array(*[F.col(f"c{i}") for i in range(width)]))
-                           .alias("items"))
-        lines = lines.where(F.size("items") > 0)
-        # Ids follow file split order: deterministic for a given input layout.
-        result = lines.select(F.monotonically_increasing_id().alias("basket_id"), "items")
-        if legacy:
-            # The charset switch is read when the scan runs: materialise the
-            # decoded baskets in the reliable checkpoint folder before restoring it.
-            result = cut_lineage(result)
-        if result.isEmpty():
-            raise ValueError("Dataset contains no nonempty baskets.")
-        return result
-    finally:
-        if legacy:
-            spark.conf.set("spark.sql.legacy.javaCharsets", previous)
+    codecs.lookup(encoding)  # an unknown encoding fails here, not in a task
+    rows = read_records(spark, path, encoding).select("record", canonical_items(F.col("items")).alias("items")).where(F.size("items") > 0)
+    result = cut_lineage(dense_index(rows, ["record"], "_n").select((F.col("_n") - 1).cast("long").alias("basket_id"), "items"))
+    if result.isEmpty():
+        raise ValueError("No basket has an item.")
+    return result
