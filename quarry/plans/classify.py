@@ -104,7 +104,11 @@ def q_classification_quality(spark, folder):
 
 def q_tree_nodes(spark, folder):
     model, _ = _fitted(spark, folder)
-    return model.node_table(spark).withColumn("parent_id", F.coalesce("parent_id", F.lit(0))) \
+    return node_rows(model.node_table(spark))
+
+
+def node_rows(nodes):
+    return nodes.withColumn("parent_id", F.coalesce("parent_id", F.lit(0))) \
         .withColumn("threshold", F.round("threshold", 9)).withColumn("score", F.round("score", 9))
 
 
@@ -186,7 +190,10 @@ def q_forest_quality(spark, folder):
 
 
 def q_forest_importance(spark, folder):
-    forest, _ = _exact_forest(spark, folder)
+    return ranked_importances(_exact_forest(spark, folder)[0], spark)
+
+
+def ranked_importances(forest, spark):
     ranked = F.row_number().over(Window.orderBy(F.desc(F.round("importance", 9)), "feature"))  # one row a feature
     return forest.importances(spark).select("feature", F.round("importance", 9).alias("importance"), ranked.alias("rank")).where(
         F.col("rank") <= RF.TOP_FEATURES)

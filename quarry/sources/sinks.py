@@ -19,10 +19,25 @@ def _out(frame: DataFrame, single_file: bool) -> DataFrame:
 
 
 def write_itemsets(itemsets: DataFrame, levels: DataFrame, path: str, order: str = "support",
-                   single_file: bool = False) -> None:
-    """SNK-1: itemsets (ordered) and level diagnostics as JSON lines."""
+                   single_file: bool = False, transactions: int | None = None, threshold: str | None = None) -> None:
+    """SNK-1: itemsets (ordered) and level diagnostics as JSON lines; with ``transactions`` (the
+    number of baskets) and ``threshold``, those and the order as one summary row too."""
     _out(order_itemsets(itemsets, order), single_file).write.mode("overwrite").json(f"{path}/itemsets")
     _out(levels.orderBy("length"), single_file).write.mode("overwrite").json(f"{path}/levels")
+    if transactions is not None:
+        summary = itemsets.sparkSession.createDataFrame([(transactions, threshold, order)], "transactions long, threshold string, order string")
+        summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+
+
+def write_rule_report(itemsets: DataFrame, levels: DataFrame, rules: DataFrame, path: str, transactions: int, support: str,
+                      confidence: str, order: str = "support", single_file: bool = False) -> None:
+    """SNK-2 in full: the itemsets and levels that the rules come from, the rules (ordered), and
+    a summary row of the thresholds."""
+    write_itemsets(itemsets, levels, path, order, single_file)
+    write_rules(rules, f"{path}/rules", "json", order, single_file)
+    summary = rules.sparkSession.createDataFrame([(transactions, support, confidence, order)],
+                                                 "transactions long, support_threshold string, confidence_threshold string, order string")
+    summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
 
 
 def write_rules(rules: DataFrame, path: str, fmt: str = "json", order: str = "support",
