@@ -106,31 +106,35 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("diges
 _DDL = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
 
 
-def _sketch_kernel(batches):
-    for keys, texts in text_rows(batches, "doc_id", "text", 256):
-        rows = {"doc_id": keys, "n_shingles": [], "digest": [], "bands": [], "signature": []}
-        for text in texts:
-            grams = shingles(text)
-            rows["n_shingles"].append(len(grams))
-            some = len(grams) > 0
-            values = signature(grams) if some else None
-            rows["digest"].append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if some else None)
-            rows["bands"].append(band_keys(values) if some else None)
-            # 8 bits of each value to compare with: a chance match in 256 only keeps a pair longer
-            rows["signature"].append(values.astype(np.uint8).tobytes() if some else None)
-        yield batch_of(_SCHEMA, rows)
+def _sketch_kernel(size: int):
+    def kernel(batches):
+        for keys, texts in text_rows(batches, "doc_id", "text", 256):
+            rows = {"doc_id": keys, "n_shingles": [], "digest": [], "bands": [], "signature": []}
+            for text in texts:
+                grams = shingles(text, size)
+                rows["n_shingles"].append(len(grams))
+                some = len(grams) > 0
+                values = signature(grams) if some else None
+                rows["digest"].append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if some else None)
+                rows["bands"].append(band_keys(values) if some else None)
+                # 8 bits of each value to compare with: a chance match in 256 only keeps a pair longer
+                rows["signature"].append(values.astype(np.uint8).tobytes() if some else None)
+            yield batch_of(_SCHEMA, rows)
+    return kernel
 
 
 _SETS = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
 
-def _sets_kernel(batches):
-    for batch in batches:
-        for start in range(0, batch.num_rows, 64):
-            part = batch.slice(start, 64)
-            grams = [shingles(t[0]) if len(t) == 1 else np.unique(np.concatenate([shingles(x) for x in t]))
-                     for t in part.column("texts").to_pylist()]
-            yield batch_of(_SETS, {"id": part.column("id").to_pylist(), "grams": [g.view(np.int64) for g in grams]})
+def _sets_kernel(size: int):
+    def kernel(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                grams = [shingles(t[0], size) if len(t) == 1 else np.unique(np.concatenate([shingles(x, size) for x in t]))
+                         for t in part.column("texts").to_pylist()]
+                yield batch_of(_SETS, {"id": part.column("id").to_pylist(), "grams": [g.view(np.int64) for g in grams]})
+    return kernel
 
 
 @lru_cache
@@ -302,11 +306,11 @@ def _links(bands: DataFrame, signatures: DataFrame, sets: DataFrame, rounds: int
     return links
 
 
-def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per document row."""
+def near_duplicates(docs: DataFrame, rounds: int = 2, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per document row; shingles of ``size`` words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where(F.col("doc_id").isNotNull())
-    sketches = cut_lineage(map_texts(docs, _sketch_kernel, _DDL))
+    sketches = cut_lineage(map_texts(docs, _sketch_kernel(size), _DDL))
     classes = cut_lineage(sketches.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id")))
     # the merge hints: these sides grow with the corpus and are never broadcast
     own = (sketches.join(classes.hint("merge"), (F.col("doc_id") == F.col("id")) & (sketches["digest"] == classes["digest"]), "left_semi")
@@ -318,7 +322,7 @@ def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
     signatures = cut_lineage(own.join(alike.hint("merge"), "id", "left_semi").select("id", "signature").dropDuplicates(["id"]))
     sets = cut_lineage(docs.withColumnRenamed("doc_id", "id").join(alike.hint("merge"), "id", "left_semi")
                        .groupBy("id").agg(F.collect_list(F.coalesce("text", F.lit(""))).alias("texts"))
-                       .mapInArrow(_sets_kernel, "id long, grams array<bigint>"))
+                       .mapInArrow(_sets_kernel(size), "id long, grams array<bigint>"))
     links = _links(bands, signatures, sets, rounds)
     with_class = sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     if links is None:

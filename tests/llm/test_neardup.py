@@ -7,12 +7,12 @@ from quarry.llm import neardup as N
 from tests.llm.conftest import ODD, frame
 
 
-def brute(texts):
+def brute(texts, size=4):
     """Components by comparing all pairs of plain shingle sets."""
     sets = {}
     for i, t in texts.items():
         w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()
-        sets[i] = {tuple(w[k:k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[k:k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
     top = {i: i for i in sets}
 
     def find(i):
@@ -31,7 +31,11 @@ def brute(texts):
 def check(spark, texts, **options):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
            N.near_duplicates(frame(spark, texts), **options).collect()}
-    assert got == brute(texts)
+    assert got == brute(texts, options.get("size", 4))
+
+
+def test_longer_shingles_against_all_pairs(spark, small):
+    check(spark, {r["doc_id"]: r["text"] for r in small("documents").collect()}, size=5)
 
 
 def test_tables_against_all_pairs(spark, small):

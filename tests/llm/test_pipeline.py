@@ -33,7 +33,7 @@ def test_stages_against_brute_force(spark, small):
 
     single = cut_lineage(C.near_duplicates(spark, lined, FOLDER))
     assert single.columns == columns
-    assert set(texts_of(single)) == {i for i, (_, c) in components(texts_of(lined)).items() if i == c}
+    assert set(texts_of(single)) == {i for i, (_, c) in components(texts_of(lined), C.SHINGLE).items() if i == c}
 
     clean = cut_lineage(C.benchmark_decontamination(spark, single, FOLDER))
     items = [(r["item_id"], r["text"]) for r in small("benchmark").collect()]
@@ -46,4 +46,4 @@ def test_stages_against_brute_force(spark, small):
 
 def test_names():
     assert [n for n, _ in C.STAGES] == ["quality_classifier", "line_dedup", "near_duplicates", "benchmark_decontamination", "packing"]
-    assert neardup.PERCENT == 80 and C.ORACLE_SQL is None
+    assert neardup.PERCENT == 80 and C.SHINGLE == 5 and C.ORACLE_SQL is None
