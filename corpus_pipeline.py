@@ -17,6 +17,8 @@ from quarry.llm.queries import tokenizer_path
 from quarry.session import cut_lineage
 from quarry.sources.tables import table
 
+SHINGLE = 5  # words of a shingle in the near-duplicate stage
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones; texts as they are."""
@@ -34,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, and every other document."""
-    drop = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    drop = neardup.near_duplicates(docs, size=SHINGLE).where(~F.col("kept")).select("doc_id")
     return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
 
 
