@@ -23,6 +23,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 
 @dataclass
 class Encoder:
@@ -72,7 +74,7 @@ def fit_encoder(train: DataFrame, numeric, categorical) -> Encoder:
     names = F.element_at(F.array(*[F.lit(c) for c in categorical]), F.col("cidx") + 1)
     vocab = seen.select("cidx", "category", (offset + rank).cast("long").alias("feature_idx"),
                         F.concat(names, F.lit("="), F.col("category")).alias("feature"))
-    return Encoder(numeric, categorical, vocab.cache(), sizes)
+    return Encoder(numeric, categorical, cut_lineage(vocab), sizes)
 
 
 def vector_pipeline(numeric, categorical, output: str = "features") -> Pipeline:

@@ -9,8 +9,10 @@ is made in three distributed steps instead:
    combined aggregate whose size is bounded by the bucket count;
 2. running counts over buckets find, per group, the one boundary bucket where the
    quota is reached;
-3. rows below it are chosen, rows above are not; only the rows of the boundary bucket
-   (about n / buckets of them, the hash is uniform) are ranked exactly.
+3. only the rows of the boundary bucket (about n / buckets of them, the hash is uniform) are
+   ranked, which gives the last row chosen; every row is then compared with that one.
+
+The input is read three times: for the counts, for the boundary buckets, for the flags.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 HASH_BITS = 60
+BUCKET_BITS = 16  # only how finely hashes are counted: the rows chosen are the same for any number
 
 
 def hash_key(key: Column, seed: int) -> Column:
@@ -33,12 +38,6 @@ def hash_value(hex_hash: Column) -> Column:
     return F.conv(F.substring(hex_hash, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def _bucket_bits(n: int) -> int:
-    """Only how finely the hashes are counted depends on the table's size: the rows chosen are
-    the same for any number of buckets."""
-    return int(min(20, max(6, math.ceil(math.log2(max(n, 1) / 2048.0)))))
-
-
 def _same_groups(left: DataFrame, right: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
     """Join on the group columns, NULL being a group like any other."""
     renamed = right.select(*[F.col(c).alias(f"_g_{c}") if c in groups else F.col(c) for c in right.columns])
@@ -48,35 +47,40 @@ def _same_groups(left: DataFrame, right: DataFrame, groups: list[str], how: str
     return left.join(renamed, same, how).drop(*[f"_g_{c}" for c in groups])
 
 
+def _hashed(frame: DataFrame, key: str, seed: int) -> DataFrame:
+    rows = frame.withColumn("_hx", hash_key(F.col(key), seed)).withColumn("_h", hash_value(F.col("_hx")))
+    return rows.withColumn("_bucket", F.shiftright(F.col("_h"), HASH_BITS - BUCKET_BITS))
+
+
+def hash_counts(frame: DataFrame, key: str, groups: list[str], seed: int) -> DataFrame:
+    """(groups, _bucket, _cnt): rows by group and hash bucket, as a written table."""
+    return cut_lineage(_hashed(frame, key, seed).groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_cnt")))
+
+
 def choose_first(frame: DataFrame, key: str, groups: list[str], quotas: DataFrame,
-                 seed: int, flag: str = "chosen") -> DataFrame:
-    """Flag the ``quota`` rows with the smallest ``md5(seed:key)`` in every group.
+                 seed: int, flag: str = "chosen", counts: DataFrame | None = None) -> DataFrame:
+    """Flag the ``quota`` rows with the smallest ``md5(seed:key)`` in every group (all rows of a
+    group that has fewer).
 
     ``quotas`` has the ``groups`` columns and ``quota``; its size is the number of
-    groups (the caller guarantees it is small: labels, or one global group).
+    groups (the caller guarantees it is small: labels, or one global group).  ``counts``: the
+    ``hash_counts`` of the same frame, key and seed, if there already.
     """
-    hx = hash_key(F.col(key), seed)
-    rows = frame.withColumn("_hx", hx).withColumn("_h", hash_value(F.col("_hx")))
-    n = frame.count()
-    bits = _bucket_bits(n)
-    rows = rows.withColumn("_bucket", F.shiftright(F.col("_h"), HASH_BITS - bits))
-    counts = rows.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = counts if counts is not None else hash_counts(frame, key, groups, seed)
+    rows = _hashed(frame, key, seed)
     running = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.withColumn("_cum", F.sum("_cnt").over(running))
     counts = _same_groups(counts, F.broadcast(quotas), groups)
     boundary = (counts.where((F.col("_cum") >= F.col("quota")) & (F.col("_cum") - F.col("_cnt") < F.col("quota")))
-                .select(*groups, F.col("_bucket").alias("_edge"), (F.col("_cum") - F.col("_cnt")).alias("_before")))
-    edges = _same_groups(quotas, boundary, groups, "left").select(
-        *groups, "quota", F.coalesce("_edge", F.lit(-1)).alias("_edge"),
-        F.coalesce("_before", F.lit(0)).alias("_before"))
-    rows = _same_groups(rows, F.broadcast(edges), groups)
-    clear = (rows.where(F.col("_bucket") != F.col("_edge"))
-             .withColumn(flag, F.col("_bucket") < F.col("_edge")))
-    within = Window.partitionBy(*groups, "_bucket").orderBy("_h", "_hx", key)
-    edge = (rows.where(F.col("_bucket") == F.col("_edge"))
-            .withColumn(flag, F.row_number().over(within) <= F.col("quota") - F.col("_before")))
-    drop = ["_hx", "_h", "_bucket", "quota", "_edge", "_before"]
-    return clear.unionByName(edge).drop(*drop)
+                .select(*groups, F.col("_bucket").alias("_edge"), (F.col("quota") - F.col("_cum") + F.col("_cnt")).alias("_take")))
+    order = F.struct("_h", "_hx", F.col(key).cast("string").alias("_k"))
+    edge = _same_groups(rows.select(*groups, "_bucket", order.alias("_o")), F.broadcast(boundary), groups).where(F.col("_bucket") == F.col("_edge"))
+    within = Window.partitionBy(*groups).orderBy("_o")  # rows of one bucket
+    last = cut_lineage(edge.withColumn("_rank", F.row_number().over(within)).where(F.col("_rank") == F.col("_take")).select(
+        *groups, F.col("_o").alias("_last")))
+    limits = _same_groups(quotas, last, groups, "left").select(*groups, "quota", "_last")
+    chosen = F.when(F.col("_last").isNotNull(), order <= F.col("_last")).otherwise(F.col("quota") > 0)
+    return _same_groups(rows, F.broadcast(limits), groups).withColumn(flag, chosen).drop("_hx", "_h", "_bucket", "quota", "_last")
 
 
 def largest_remainder(counts: dict, total: int) -> dict:
@@ -98,14 +102,15 @@ def stratified_split(frame: DataFrame, key: str, label: str, train_share: float,
     share = float(train_share)
     if not 0 < share < 1:
         raise ValueError("train share must be between 0 and 1")
-    counts = {r[label]: r["n"] for r in frame.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    buckets = hash_counts(frame, key, [label], seed)
+    counts = {r[label]: r["n"] for r in buckets.groupBy(label).agg(F.sum("_cnt").alias("n")).collect()}
     n = sum(counts.values())
     n_train = math.floor(share * n)
     quota = largest_remainder(counts, n_train)
     spark = frame.sparkSession
     quotas = spark.createDataFrame([(k, v) for k, v in quota.items()],
                                    f"{label} {dict(frame.dtypes)[label]}, quota long")
-    return choose_first(frame, key, [label], quotas, seed, flag="is_train")
+    return choose_first(frame, key, [label], quotas, seed, flag="is_train", counts=buckets)
 
 
 def exact_count(n: int, fraction: float) -> int:
