@@ -33,12 +33,32 @@ from quarry.session import cut_lineage
 RUN = 5
 MIN_WORDS = 25
 SEED = 5
+BLANKS = " \n\t\r"
 FOLD = r"(?<=\n)(?!\n)|(?<=\s)(?=[A-ZÀ-Þab])"
+# The same cuts, and the blanks before each taken away, for texts without form feeds and vertical
+# tabs.  Most characters fail the first test, while FOLD looks behind every one of them; runs of
+# blanks are read from their start only, so that long ones take linear work.
+GAPS = (r"(?=[ \n\t\r])(?:[ \t\r](?=[A-ZÀ-Þab])|\n(?!\n)|[ \n\t\r](?=[ \n\t\r])(?<![ \t\r][ \n\t\r])"
+        r"[ \n\t\r]+?(?:(?=[A-ZÀ-Þab])|(?<=\n)(?!\n)))")
 
 
-def cut(text: Column, fold: str = FOLD) -> Column:
+def cut(text: Column) -> Column:
     """The lines of a text, with the white space after each; joined they are the text."""
-    return F.split(F.coalesce(text, F.lit("")), fold, -1)
+    return F.split(F.coalesce(text, F.lit("")), FOLD, -1)
+
+
+def _bare(lines: Column) -> Column:
+    """The pieces between GAPS; only the last can still end in blanks."""
+    return F.concat(F.slice(lines, F.lit(1), F.size(lines) - 1), F.array(F.rtrim(F.element_at(lines, -1), F.lit(BLANKS))))
+
+
+def stripped(docs: DataFrame) -> DataFrame:
+    """(doc_id, u): the lines of each text without the blanks after each."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    odd = text.contains("\f") | text.contains("\x0b")
+    split = docs.select("doc_id", F.when(odd, cut(text)).otherwise(F.split(text, GAPS, -1)).alias("u"), odd.alias("o"))
+    return split.select("doc_id", F.when(F.col("o"), F.transform("u", lambda u: F.rtrim(u, F.lit(BLANKS))))
+                        .otherwise(_bare(F.col("u"))).alias("u"))
 
 
 def _pairs(a: Column, b: Column, shift: int, size: Column, step) -> Column:
@@ -54,20 +74,19 @@ def _part(values: Column, first: Column, end: Column) -> Column:
         .otherwise(F.slice(F.array(F.element_at(values, 1)), 1, 0))
 
 
-def fingerprints(docs: DataFrame, fold: str = FOLD) -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, print, start, windows): each selected fingerprint with the hashes of the
     windows that it guards, the first of which begins at line ``start``."""
-    cuts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.transform(
-        cut(F.col("text"), fold), lambda u: F.rtrim(u, F.lit(" \n\t\r"))).alias("u"))
+    cuts = stripped(docs.where(F.col("doc_id").isNotNull()))
     hashed = cuts.select("doc_id", F.transform("u", lambda u: F.xxhash64(u)).alias("h"),
                          F.transform("u", lambda u: F.xxhash64(F.lit(SEED), u)).alias("c"))
     # RUN = 5 lines hold 4 neighbouring pairs g: m is the least of them, w names the 5 lines
-    # by 64 bits and, from line hashes of another seed, by 32 more
+    # by 64 bits (two pairs and the last line) and, from line hashes of another seed, by 32 more
     pairs = hashed.select("doc_id", "h", "c", _pairs(F.col("h"), F.col("h"), 1, F.size("h") - 1, lambda a, b: F.xxhash64(a, b)).alias("g"))
     halves = pairs.select("doc_id", "h", "c", "g", _pairs(F.col("g"), F.col("g"), 1, F.size("g") - 1, lambda a, b: F.least(a, b)).alias("m2"))
     rows = halves.select("doc_id", _pairs(F.col("m2"), F.col("m2"), 2, F.size("m2") - 2, lambda a, b: F.least(a, b)).alias("m"),
                          F.when(F.size("h") >= RUN, F.transform(F.sequence(F.lit(0), F.greatest(F.size("h") - RUN, F.lit(0))), lambda i: F.struct(
-                             F.xxhash64(F.lit(SEED), *[F.get(F.col("h"), i + k) for k in range(RUN)]).alias("a"),
+                             F.xxhash64(F.lit(SEED), F.get(F.col("g"), i), F.get(F.col("g"), i + 2), F.get(F.col("h"), i + RUN - 1)).alias("a"),
                              F.hash(*[F.get(F.col("c"), i + k) for k in range(RUN)]).alias("b")))).alias("w"))
     # a fingerprint guards the windows from one change of the least pair to the next (no rows
     # are filtered here: a filter would move down to the scan with all these expressions)
@@ -80,9 +99,9 @@ def fingerprints(docs: DataFrame, fold: str = FOLD) -> DataFrame:
     return some.select("doc_id", "x.*")
 
 
-def repeated_lines(docs: DataFrame, fold: str = FOLD) -> DataFrame:
+def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, starts): the sorted first lines of a document's windows that occurred earlier."""
-    prints = cut_lineage(fingerprints(docs, fold))
+    prints = cut_lineage(fingerprints(docs))
     # a fingerprint counts twice where it guards equal windows (a line repeated on the spot)
     twice = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), 2).otherwise(1)
     again = cut_lineage(prints.groupBy("print").agg(F.sum(twice).alias("n")).where("n > 1").select("print"))
@@ -113,20 +132,18 @@ def runs(starts: Column, run: int = RUN) -> Column:
     return F.aggregate(starts, empty, step, finish)
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, fold: str = FOLD) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later repeated runs deleted from ``text``, plus ``line_runs`` (the deleted
     (start, end) line runs) and ``n_lines``; every row stays."""
     columns = [c for c in docs.columns if c != "text"]
-    found = repeated_lines(docs, fold).select(F.col("doc_id").alias("_doc"), "_starts")
+    found = repeated_lines(docs).select(F.col("doc_id").alias("_doc"), "_starts")
     joined = docs.join(found, F.col("doc_id") == F.col("_doc"), "left")
-    lined = joined.select(*columns, "text", "_starts", F.when(F.col("_starts").isNotNull(), cut(F.col("text"), fold)).alias("_lines"))
-
-    def words(line):
-        return F.when(F.length(F.trim(line, F.lit(" \n\t\r"))) > 0, F.size(F.split(F.trim(line, F.lit(" \n\t\r")), "\\s+"))).otherwise(0)
+    lined = joined.select(*columns, "text", "_starts", F.when(F.col("_starts").isNotNull(), cut(F.col("text"))).alias("_lines"))
 
     ranged = lined.select(*columns, "text", "_lines", F.when(F.col("_starts").isNotNull(), runs(F.col("_starts"))).alias("_runs"))
-    counted = ranged.select(*columns, "text", "_lines", F.filter("_runs", lambda r: F.aggregate(
-        _part(F.col("_lines"), r["start"] + 1, r["end"] + 1), F.lit(0), lambda n, u: n + words(u)) >= min_words).alias("line_runs"))
+    # a line ends in white space, so the words of joined lines are theirs
+    counted = ranged.select(*columns, "text", "_lines", F.filter("_runs", lambda r: F.regexp_count(
+        F.array_join(_part(F.col("_lines"), r["start"] + 1, r["end"] + 1), ""), F.lit(r"\S+")) >= min_words).alias("line_runs"))
     # the kept parts lie between the deleted runs
     begins = F.concat(F.array(F.lit(0)), F.transform("line_runs", lambda r: r["end"]))
     ends = F.concat(F.transform("line_runs", lambda r: r["start"]), F.array(F.size("_lines")))

@@ -200,6 +200,17 @@ def test_lines_inside_other_lines_copies_and_odd_texts(spark):
     check_lines(spark, {1: "same line b\n" * 40, 2: "same line b\n" * 3})
 
 
+def test_stripped_lines_are_the_cuts_without_their_blanks(spark):
+    r = random.Random(12)
+    texts = {i: "".join(r.choice("  \n\n\t\r\f\x0bAbcxÀé" if i % 2 else "  \n\nAbc\rx\t") for _ in range(r.randrange(0, 40))) for i in range(4000)}
+    texts |= {-1: None, -2: " " * 300_000 + "x", -3: "\n" * 300_000, -4: "\r\n" * 5 + " A", -5: "a\t" * 300_000}
+    docs = frame(spark, texts, extra=False)
+    want = {d["doc_id"]: [u.rstrip(lines.BLANKS) for u in d["u"]] for d in docs.select("doc_id", lines.cut(F.col("text")).alias("u")).collect()}
+    assert {d["doc_id"]: d["u"] for d in lines.stripped(docs).collect()} == want
+    fold = re.compile(lines.FOLD)
+    assert want == {i: [u.rstrip(lines.BLANKS) for u in _split(fold, t or "")] for i, t in texts.items()}
+
+
 def test_different_windows_behind_one_hot_pair_are_kept(spark):
     # the ids were searched so that the windows of two agree in 32-bit hashes of the older form
     hot = spark.range(20_000).select(F.concat(F.lit("very common line number "), "id").alias("a")).orderBy(
