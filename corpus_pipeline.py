@@ -29,7 +29,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without its later copies of repeated runs; ``n_chars`` follows the text."""
     done = lines.dedup(docs)
-    shorter = F.size("line_runs") > 0
+    shorter = F.size(done.columns[-1]) > 0
     return done.select(*[F.when(shorter, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
                          if c == "n_chars" else F.col(c) for c in docs.columns])
 

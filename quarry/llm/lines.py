@@ -133,21 +133,25 @@ def runs(starts: Column, run: int = RUN) -> Column:
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later repeated runs deleted from ``text``, plus ``line_runs`` (the deleted
-    (start, end) line runs) and ``n_lines``; every row stays."""
-    columns = [c for c in docs.columns if c != "text"]
-    found = repeated_lines(docs).select(F.col("doc_id").alias("_doc"), "_starts")
-    joined = docs.join(found, F.col("doc_id") == F.col("_doc"), "left")
-    lined = joined.select(*columns, "text", "_starts", F.when(F.col("_starts").isNotNull(), cut(F.col("text"))).alias("_lines"))
-
-    ranged = lined.select(*columns, "text", "_lines", F.when(F.col("_starts").isNotNull(), runs(F.col("_starts"))).alias("_runs"))
+    """``docs`` with later repeated runs deleted from ``text``, and one last column: the deleted
+    (start, end) line runs, named ``line_runs`` (with an underscore more for each such name that
+    ``docs`` has already).  Every row stays."""
+    out = "line_runs"
+    while out.lower() in {c.lower() for c in docs.columns}:
+        out += "_"
+    found = repeated_lines(docs)
+    # the whole row is one column until the end, so that its names cannot clash with these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(found, F.col("row.doc_id") == F.col("doc_id"), "left").select("row", "_starts")
+    lined = joined.select("row", "_starts", F.when(F.col("_starts").isNotNull(), cut(F.col("row.text"))).alias("_lines"))
+    ranged = lined.select("row", "_lines", F.when(F.col("_starts").isNotNull(), runs(F.col("_starts"))).alias("_runs"))
     # a line ends in white space, so the words of joined lines are theirs
-    counted = ranged.select(*columns, "text", "_lines", F.filter("_runs", lambda r: F.regexp_count(
-        F.array_join(_part(F.col("_lines"), r["start"] + 1, r["end"] + 1), ""), F.lit(r"\S+")) >= min_words).alias("line_runs"))
+    counted = ranged.select("row", "_lines", F.filter("_runs", lambda r: F.regexp_count(
+        F.array_join(_part(F.col("_lines"), r["start"] + 1, r["end"] + 1), ""), F.lit(r"\S+")) >= min_words).alias("_gone"))
     # the kept parts lie between the deleted runs
-    begins = F.concat(F.array(F.lit(0)), F.transform("line_runs", lambda r: r["end"]))
-    ends = F.concat(F.transform("line_runs", lambda r: r["start"]), F.array(F.size("_lines")))
+    begins = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda r: r["end"]))
+    ends = F.concat(F.transform("_gone", lambda r: r["start"]), F.array(F.size("_lines")))
     kept = F.array_join(F.zip_with(begins, ends, lambda a, b: F.array_join(_part(F.col("_lines"), a + 1, b + 1), "")), "")
-    cut_text = F.when(F.coalesce(F.size("line_runs"), F.lit(0)) > 0, kept).otherwise(F.col("text"))
-    return counted.select(*[cut_text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                          F.coalesce("line_runs", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias("line_runs"))
+    text = F.when(F.coalesce(F.size("_gone"), F.lit(0)) > 0, kept).otherwise(F.col("row.text"))
+    return counted.select(*[text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns],
+                          F.coalesce("_gone", F.expr("cast(array() as array<struct<start:int,end:int>>)")).alias(out))

@@ -230,6 +230,18 @@ def test_lines_keep_rows_and_columns(spark):
     assert done.count() == 3 and done.columns == [*docs.columns, "line_runs"]
 
 
+def test_lines_of_a_table_with_their_own_column_names(spark):
+    passage = "Ab cd ef gh ij kl. Bc de fg hi jk lm no. Cd ef gh ij kl mn. De fg hi jk lm no. Ef gh ij kl mn op. Fg hi jk. Gh."
+    docs = frame(spark, {1: passage, 2: passage + " Tail"}, extra=False)
+    for name in ("line_runs", "_doc", "_starts", "_lines", "_runs", "_gone", "row", "a.b"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    done = lines.dedup(docs)
+    assert done.columns == [*docs.columns, "line_runs_"]
+    rows = {r["doc_id"]: r for r in done.collect()}
+    assert rows[1]["text"] == passage and rows[1]["line_runs_"] == [] and len(rows[2]["line_runs_"]) == 1
+    assert "Bc de" not in rows[2]["text"] and all(rows[2][c] == f"{c}2" for c in docs.columns[2:])
+
+
 @pytest.fixture(scope="module")
 def license_model(spark):
     return licenses.fit(spark)
