@@ -45,8 +45,9 @@ def _report(spark, folder):
     baskets, n, found = M._mined(spark, folder, "p_type")
     distinct = I.basket_items(baskets).select("item").distinct().count()
     path = _folder(spark)
-    sinks.write_rule_report(found, I.itemset_levels(found, distinct), R.generate_rules(found, "50%"), path, n, M.SUPPORT, "50%")
-    return path
+    rules = R.generate_rules(found, "50%")
+    sinks.write_rule_report(found, I.itemset_levels(found, distinct), rules, path, n, M.SUPPORT, "50%")
+    return path, rules.schema
 
 
 def q_export_itemsets(spark, folder):
@@ -61,12 +62,14 @@ def q_export_itemsets(spark, folder):
 
 
 def q_export_levels(spark, folder):
-    return spark.read.json(f"{_report(spark, folder)}/levels").select("length", "candidates", "frequent")
+    path, _ = _report(spark, folder)
+    return spark.read.json(f"{path}/levels").select("length", "candidates", "frequent")
 
 
 def q_export_rules(spark, folder):
     """SNK-2: the rules of a written report."""
-    return M._rule_rows(spark.read.json(f"{_report(spark, folder)}/rules"))
+    path, schema = _report(spark, folder)
+    return M._rule_rows(spark.read.schema(schema).json(f"{path}/rules"))  # no rules: a file without a line to infer it from
 
 
 def q_export_partition(spark, folder):

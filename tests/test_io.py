@@ -43,3 +43,14 @@ def test_sinks(spark, tmp_path):
     assert len(text) == 2 and "a → b" in text[0].value
     sinks.write_rules(R.generate_rules(its, "100%"), str(tmp_path / "none"), fmt="text")
     assert spark.read.text(str(tmp_path / "none")).first().value == R.NO_RULES
+
+
+def test_report_without_rules_is_read_back_empty(spark, tmp_path):
+    """Baskets of one item have no rules: the written file has no line to infer columns from."""
+    from quarry.plans import exports
+    folder = str(tmp_path)
+    spark.createDataFrame([(i, f"T{i}") for i in range(3)], "p_partkey long, p_type string").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(i, i % 3) for i in range(9)], "l_orderkey long, l_partkey long").write.parquet(f"{folder}/lineitem.parquet")
+    found = exports.q_export_rules(spark, folder)
+    assert found.columns == ["antecedent", "consequent", "rule", "total_length", "count", "support", "confidence"]
+    assert found.count() == 0
