@@ -114,6 +114,21 @@ def test_forest_grown_level_by_level(spark):
     assert right >= 0.85 * len(raw)
 
 
+def test_forest_rows_meet_nodes_without_a_shuffle(spark, capsys, monkeypatch):
+    """Nodes and splits are parameters: rows must not be shuffled by node, whose keys are few and hot;
+    and a row's votes are summed before they are shuffled."""
+    data = records(spark)
+    enc = E.fit_encoder(data, ["a", "b"], ["c", "d"])
+    forest = FX.grow_forest(data, "key", enc, "label", trees=3, max_depth=6, min_leaf=5, seed=9)
+    assert max(s[5] for s in forest.splits) >= FX.STRIDE  # rows were written at their nodes on the way
+    monkeypatch.setattr(FX, "STRIDE", 99)
+    same = FX.grow_forest(data, "key", enc, "label", trees=3, max_depth=6, min_leaf=5, seed=9)
+    assert (forest.nodes, forest.splits) == (same.nodes, same.splits)
+    forest.predict(data, "key").explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(node_id" not in plan and "collect_list" not in plan
+
+
 def test_forest_parameters_are_checked(spark):
     data = records(spark, 30)
     enc = E.fit_encoder(data, ["a"], ["c"])
