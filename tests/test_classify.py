@@ -118,3 +118,31 @@ def test_approx_quantile_mode_runs_and_matches_on_small_domain(spark):
     assert exact.splits[0]["threshold"] == approx.splits[0]["threshold"] == 5.0
     with pytest.raises(ValueError):
         T.fit_tree(df, enc, "y", "gini", quantiles="nope")
+
+
+def test_shares_split_in_the_same_scans(spark, monkeypatch):
+    from quarry.operators import split as SP
+    rows = spark.createDataFrame([(f"k{i % 90}", [0, 1, 1, None][i % 4]) for i in range(200)], "k string, y int")  # keys repeat, labels are missing
+    shares = {"a": 0.3, "b": 0.6, "c": 0.9}
+    want = {f: sorted((r.k, str(r.y)) for r in S.stratified_split(rows, "k", "y", s, 7).where("is_train").collect()) for f, s in shares.items()}
+    calls, counted = [], SP.hash_counts
+    monkeypatch.setattr(SP, "hash_counts", lambda *a: calls.append(a) or counted(*a))
+    got = S.stratified_splits(rows, "k", "y", shares, 7).collect()
+    assert len(calls) == 1 and len(got) == 200
+    assert {f: sorted((r.k, str(r.y)) for r in got if r[f]) for f in shares} == want
+
+
+def test_a_level_is_counted_in_one_scan(spark, monkeypatch):
+    import random
+    rnd = random.Random(4)
+    rows = [(rnd.choice([0.0, 1.0, None, 2.5]), float(rnd.randrange(9)), rnd.choice("abc"), rnd.choice(["x", None])) for _ in range(300)]
+    frame = spark.createDataFrame([(*r, int((r[1] > 4) != (r[2] == "a")) if i % 17 else i % 2) for i, r in enumerate(rows)], "n1 double, n2 double, c1 string, c2 string, y int")
+    enc = E.fit_encoder(frame, ["n1", "n2"], ["c1", "c2"])
+    todo = T.prepare(frame, enc, "y").selectExpr("*", "1L AS node_id")
+    n = frame.selectExpr("1L AS node_id", "y").groupBy("node_id").agg({"y": "sum", "*": "count"}).toDF("node_id", "p", "n")
+    want = T.best_splits(todo, n, enc, "gini", 5, 8).collect()
+    assert T.best_splits(todo, n, enc, "gini", 5, 8, counts=T.level_counts(todo, 2, 2)).collect() == want and len(want) == 1
+    scanned = lambda *a, **k: (_ for _ in ()).throw(AssertionError("scanned again"))
+    monkeypatch.setattr(T, "category_candidates", scanned)
+    model = T.fit_tree(frame, enc, "y", max_depth=2, min_leaf=5, bins=8)
+    assert model.nodes[0]["count"] == 300 and model.splits[0]["feature_idx"] == want[0]["feature_idx"] and len(model.splits) > 1
