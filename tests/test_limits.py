@@ -110,3 +110,14 @@ def test_not_finite_points_are_refused(spark):
 def test_median_of_a_hot_group(spark):
     frame = spark.range(1001).select(F.lit("g").alias("g"), (F.col("id") * F.col("id")).cast("double").alias("v"))
     assert group_spread(frame, "g", "v").first()["median"] == 500.0 ** 2
+
+
+def test_a_row_of_a_large_group_is_sent_to_few_tiles(spark, monkeypatch):
+    from quarry.operators import pairwise as PW
+    sent, tile = [], PW.tile
+    monkeypatch.setattr(PW, "tile", lambda *a: sent.append(tile(*a)) or sent[-1])
+    x = [[float(i * i % 97), float(i % 13)] for i in range(150)]
+    frame = spark.createDataFrame([(0 if i < 120 else 1, i, x[i]) for i in range(150)], "grp int, id long, features array<double>")
+    got = {r["id"]: r["dist_sum"] for r in PW.within_group_sums(frame, block_size=2).collect()}
+    assert got == pytest.approx({i: sum(math.dist(x[i], x[j]) for j in range(150) if (i < 120) == (j < 120)) for i in range(150)})
+    assert sent[0].groupBy("id").count().agg({"count": "max"}).first()[0] == PW.GROUP_BLOCKS
