@@ -194,20 +194,22 @@ def exhaustive_itemsets(baskets: DataFrame, max_length: int | None = None) -> Da
 
     Subsets grow one item per level, up to ``max_length`` (default: the longest basket),
     each by the basket's larger items only, so a basket of any width can be read and a
-    level never holds more than its own subsets.  Each level is a written table.
+    level never holds more than its own subsets.  Equal baskets are one row with their number,
+    and each level is a written table.
     """
-    rows = baskets.where(F.size("items") > 0).select(F.array_sort("items").alias("basket"))
+    equal = baskets.where(F.size("items") > 0).groupBy("items").agg(F.count(F.lit(1)).alias("n"))
+    rows = cut_lineage(equal.select(F.array_sort("items").alias("basket"), "n"))
     longest = rows.agg(F.max(F.size("basket"))).first()[0] or 0
-    level = rows.select("basket", F.posexplode("basket").alias("last", "item")).select(
-        "basket", "last", F.array("item").alias("items"))
+    level = rows.select("basket", "n", F.posexplode("basket").alias("last", "item")).select(
+        "basket", "n", "last", F.array("item").alias("items"))
     found = None
     for k in range(1, min(longest, max_length or longest) + 1):
         level = cut_lineage(level)
-        counts = level.groupBy("items").agg(F.count(F.lit(1)).alias("count"))
+        counts = level.groupBy("items").agg(F.sum("n").alias("count"))
         found = counts if found is None else found.unionByName(counts)
         later = F.expr("transform(sequence(last + 1, size(basket) - 1), i -> struct(i as last, basket[i] as item))")
-        level = (level.where(F.col("last") < F.size("basket") - 1).select("basket", "items", F.explode(later).alias("n"))
-                 .select("basket", F.col("n.last").alias("last"), F.concat("items", F.array("n.item")).alias("items")))
+        level = (level.where(F.col("last") < F.size("basket") - 1).select("basket", "n", "items", F.explode(later).alias("_next"))
+                 .select("basket", "n", F.col("_next.last").alias("last"), F.concat("items", F.array("_next.item")).alias("items")))
     return found if found is not None else rows.select(F.col("basket").alias("items"), F.lit(0).cast("long").alias("count"))
 
 

@@ -15,6 +15,7 @@ from quarry.operators import itemsets as I
 from quarry.params import min_count
 from quarry.operators import rules as R
 from quarry.plans.inputs import joined, order_baskets
+from quarry.session import cut_lineage
 
 # The published grids of the sweeps.
 SUPPORT = "1%"
@@ -23,7 +24,7 @@ CONFIDENCE_GRID = ("20%", "25%", "30%", "35%", "40%", "45%", "50%")
 
 
 def _mined(spark, folder, item, support=SUPPORT, engine="fpgrowth"):
-    baskets = order_baskets(spark, folder, item)
+    baskets = cut_lineage(order_baskets(spark, folder, item))  # read for their number, by each pass of the search and for its items
     n = I.basket_count(baskets)
     return baskets, n, I.frequent_itemsets(baskets, support, engine=engine, n=n)
 

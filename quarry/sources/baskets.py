@@ -36,22 +36,23 @@ def canonical_items(items: Column) -> Column:
     """PF-1 for an array: strip, drop blanks, distinct, sorted by code point."""
     stripped = F.transform(items, clean_item)
     kept = F.filter(stripped, lambda x: x.isNotNull() & (x != ""))
-    return F.array_sort(F.array_distinct(kept))
+    return F.sort_array(F.array_distinct(kept))
 
 
-def baskets_from_facts(facts: DataFrame, key: str, item: str) -> DataFrame:
-    """SRC-6: one basket per key; (key, item) pairs are de-duplicated first.
+def baskets_from_facts(facts: DataFrame, key: str, item: str, clean: bool = True) -> DataFrame:
+    """SRC-6: one basket per key; (key, item) pairs are de-duplicated first.  ``clean=False``: the
+    items are clean already (``clean_item``).
 
     The distinct runs as a map-side combined hash aggregate, so a hot key with a
     large share of the rows reaches the basket shuffle as at most one row per
     (key, item) and map task.
     """
-    pairs = (facts.select(F.col(key).cast("long").alias("basket_id"),
-                          clean_item(F.col(item).cast("string")).alias("item"))
+    items = F.col(item).cast("string")
+    pairs = (facts.select(F.col(key).cast("long").alias("basket_id"), (clean_item(items) if clean else items).alias("item"))
              .where(F.col("item").isNotNull() & (F.col("item") != ""))
              .distinct())
     return (pairs.groupBy("basket_id")
-            .agg(F.array_sort(F.collect_list("item")).alias("items")))
+            .agg(F.sort_array(F.collect_list("item")).alias("items")))  # without nulls; array_sort compares by a lambda
 
 
 def basket_items(baskets: DataFrame) -> DataFrame:
@@ -66,32 +67,36 @@ def _is_utf8(spark: SparkSession, path: str) -> bool:
 
 # ------------------------------------------------------------------ records of a split file
 
-def line_ends(line: str) -> tuple[int, int]:
-    """Whether a quoted field is open after ``line``, if none / if one was open before it.
+def open_after(line: str, inside: bool) -> bool:
+    """Whether a quoted field is open after ``line``, if one was (``inside``) or none was before it.
 
     A quote opens a field only at its beginning, and two quotes inside a quoted field are one
     quote, so counting quotes is not enough.
     """
-    out = []
-    for inside in (False, True):
-        fresh, i = not inside, 0
-        while i < len(line):
-            if inside:
-                i = line.find('"', i)
-                if i < 0:
-                    break
-                if line[i + 1:i + 2] == '"':
-                    i += 1
-                else:
-                    inside = False
-                fresh = False
-            elif line[i] == '"' and fresh:
-                inside, fresh = True, False
-            else:
-                fresh = line[i] == ","
+    if not inside and '"' not in line:
+        return False
+    i = 0
+    while True:
+        if not inside:  # a field begins at i
+            if line[i:i + 1] != '"':
+                i = line.find(",", i) + 1
+                if not i:
+                    return False
+                continue
             i += 1
-        out.append(int(inside))
-    return out[0], out[1]
+        i = line.find('"', i)
+        while i >= 0 and line[i + 1:i + 2] == '"':
+            i = line.find('"', i + 2)
+        if i < 0:
+            return True
+        i, inside = line.find(",", i + 1) + 1, False  # after its end a field has no more quotes
+        if not i:
+            return False
+
+
+def line_ends(line: str) -> tuple[int, int]:
+    """``open_after`` if none / if one was open before the line."""
+    return int(open_after(line, False)), int(open_after(line, True))
 
 
 def _located(batches, encoding: str):
@@ -134,9 +139,13 @@ def _records(encoding: str, starts: dict):
         key, held, done = None, [], []
 
         def close(number, part, is_open):
-            done.append({"record": number, "part": part, "open": is_open, "text": "\n".join(held)})
+            done.append((number, part, is_open, "\n".join(held)))
             held.clear()
 
+        def closed():
+            columns = zip(*done) if done else [()] * len(schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
         state = number = part = 0
         whole = True  # the held record began in this split
         for file, block, text in _located(batches, encoding):
@@ -151,25 +160,23 @@ def _records(encoding: str, starts: dict):
                 number += 1
                 whole = True
             held.append(text)
-            state = line_ends(text)[state]
+            state = open_after(text, bool(state))
             if not state:
                 close(number, part, not whole)
             if len(done) >= 5000:
-                yield pa.RecordBatch.from_pylist(done, schema=schema)
+                yield closed()
                 done.clear()
         if held:
             close(number, part, True)
-        yield pa.RecordBatch.from_pylist(done, schema=schema)
+        yield closed()
     return kernel
 
 
 def _fields(batches):
     schema = pa.schema([("record", pa.int64()), ("items", pa.list_(pa.string()))])
     for batch in batches:
-        rows = []
-        for record, text in zip(batch.column("record").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            rows.append({"record": record, "items": [x for row in csv.reader(io.StringIO(text, newline="")) for x in row]})
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        items = [[x for row in csv.reader(io.StringIO(text, newline="")) for x in row] for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("record"), pa.array(items, schema.field("items").type)], schema=schema)
 
 
 def read_records(spark: SparkSession, path: str, encoding: str) -> DataFrame:

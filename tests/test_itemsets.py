@@ -129,3 +129,27 @@ def test_read_baskets_cp1251(spark, tmp_path):
     assert b.count() == 2
     got = found(I.frequent_itemsets(b, "50%"))
     assert got == {("яйца",): 2, ("молоко",): 1, ("молоко", "яйца"): 1}
+
+
+def test_mining_reads_the_lines_once(spark, tmp_path, monkeypatch):
+    """The search, the number of baskets and the distinct items all read the written baskets."""
+    from quarry.plans import exports, mining
+    folder = str(tmp_path)
+    spark.createDataFrame([(i, f" B{i % 3} ") for i in range(6)], "p_partkey long, p_brand string").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(i // 3, i % 5) for i in range(30)], "l_orderkey long, l_partkey long").write.parquet(f"{folder}/lineitem.parquet")
+    seen = []
+    passed = mining.I.frequent_itemsets
+    monkeypatch.setattr(mining.I, "frequent_itemsets", lambda b, *a, **k: seen.append(b) or passed(b, *a, **k))
+    got = {r["items"]: r["count"] for r in exports.q_export_itemsets(spark, folder).collect()}
+    baskets = [{f"B{i % 5 % 3}" for i in range(3 * b, 3 * b + 3)} for b in range(10)]
+    assert got["B0"] == sum("B0" in b for b in baskets) and got["B0|B1"] == sum({"B0", "B1"} <= b for b in baskets)
+    assert len(seen) == 1 and not any("lineitem" in f for f in seen[0].inputFiles())
+
+
+def test_exhaustive_counts_equal_baskets_once(spark, monkeypatch):
+    sizes = []
+    written = I.cut_lineage
+    monkeypatch.setattr(I, "cut_lineage", lambda f: sizes.append((t := written(f)).count()) or t)
+    rows = spark.createDataFrame([(i, ["a", "b"] if i % 2 else ["b", "a"]) for i in range(50)], "basket_id long, items array<string>")
+    assert {tuple(r["items"]): r["count"] for r in I.exhaustive_itemsets(rows).collect()} == {("a",): 50, ("b",): 50, ("a", "b"): 50}
+    assert sizes and max(sizes) <= 4
