@@ -11,6 +11,7 @@ import csv
 import io
 import sys
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,28 +101,38 @@ def line_ends(line: str) -> tuple[int, int]:
 
 
 def _located(batches, encoding: str):
-    """(file, block, text) of each line, in order; a byte-order mark at a file's begin is dropped."""
+    """((file, block), texts) of each run of lines of one split, in order; a byte-order mark at a
+    line's begin is dropped."""
     for batch in batches:
-        for file, block, value in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
-            text = value.decode(encoding)
-            yield file, block, text.removeprefix("\ufeff")
+        if not batch.num_rows:
+            continue
+        file, block, value = (batch.column(c) for c in ("file", "block", "value"))
+        place, blocks = file.dictionary_encode().indices.to_numpy(), block.to_numpy()
+        new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (blocks[1:] != blocks[:-1])])
+        texts = [v.decode(encoding).removeprefix("\ufeff") for v in value.to_numpy(zero_copy_only=False)]
+        for begin, end in zip(new, [*new[1:], len(texts)], strict=True):
+            yield (file[begin].as_py(), block[begin].as_py()), texts[begin:end]
 
 
 def _block_ends(encoding: str):
     """Per split: the open-field state after it and the records that begin in it, for either
     state before it."""
     def kernel(batches):
-        key, state, begun, done = None, [0, 1], [0, 0], []
-        for file, block, text in _located(batches, encoding):
-            if key != (file, block):
+        key, closed, opened, begun_closed, begun_open, done = None, False, True, 0, 0, []
+        for split, texts in _located(batches, encoding):
+            if key != split:
                 if key is not None:
-                    done.append((*key, *state, *begun))
-                key, state, begun = (file, block), [0, 1], [0, 0]
-            ends = line_ends(text)
-            begun = [n + (not s) for n, s in zip(begun, state)]
-            state = [ends[s] for s in state]
+                    done.append((*key, int(closed), int(opened), begun_closed, begun_open))
+                key, closed, opened, begun_closed, begun_open = split, False, True, 0, 0
+            for text in texts:
+                begun_closed += not closed
+                begun_open += not opened
+                if closed == opened:  # the two have met: one state from here on
+                    closed = opened = open_after(text, closed)
+                else:
+                    closed, opened = open_after(text, closed), open_after(text, opened)
         if key is not None:
-            done.append((*key, *state, *begun))
+            done.append((*key, int(closed), int(opened), begun_closed, begun_open))
         yield pa.RecordBatch.from_pylist([dict(zip(_BLOCK_COLUMNS, d)) for d in done], schema=pa.schema(
             [("file", pa.string()), *((c, pa.int64()) for c in _BLOCK_COLUMNS[1:])]))
     return kernel
@@ -148,21 +159,22 @@ def _records(encoding: str, starts: dict):
 
         state = number = part = 0
         whole = True  # the held record began in this split
-        for file, block, text in _located(batches, encoding):
-            if key != (file, block):
+        for split, texts in _located(batches, encoding):
+            if key != split:
                 if held:
                     close(number, part, True)
-                key = (file, block)
+                key = split
                 part, state, number = starts[key]
                 number -= 1
                 whole = not state
-            if not state:
-                number += 1
-                whole = True
-            held.append(text)
-            state = open_after(text, bool(state))
-            if not state:
-                close(number, part, not whole)
+            for text in texts:
+                if not state:
+                    number += 1
+                    whole = True
+                held.append(text)
+                state = open_after(text, bool(state))
+                if not state:
+                    close(number, part, not whole)
             if len(done) >= 5000:
                 yield closed()
                 done.clear()
