@@ -137,3 +137,21 @@ def test_forest_parameters_are_checked(spark):
             FX.grow_forest(data, "key", enc, "label", **bad)
     one = FX.grow_forest(data.withColumn("label", F.lit(1)), "key", enc, "label", trees=2)  # nothing to split
     assert one.splits == [] and {r["prediction"] for r in one.predict(data, "key").collect()} == {1}
+
+
+def test_forests_share_their_rows_and_do_not_depend_on_kept_node_ids(spark, monkeypatch):
+    from quarry.operators import forest as RF
+    rnd = random.Random(3)
+    rows = [(f"k{i}", rnd.random(), rnd.choice("abc"), int(rnd.random() < 0.4)) for i in range(120)]
+    frame = spark.createDataFrame(rows, "key string, x double, c string, label int")
+    spreads, fitted = [], []
+    passed, forest = RF.spread, RF.RandomForestClassifier
+    monkeypatch.setattr(RF, "spread", lambda df, key: spreads.append(df.columns) or passed(df, key=key))
+    monkeypatch.setattr(RF, "RandomForestClassifier", lambda **k: fitted.append(k["cacheNodeIds"]) or forest(**k))
+    found = {}
+    for limit in (1 << 29, 240):  # 120 rows x 2 trees are kept, x 4 are not
+        monkeypatch.setattr(RF, "NODE_IDS", limit)
+        found[limit] = [(f.importances.collect(), f.quality.collect()) for f in RF.fit_forests(
+            frame, frame, ("x",), ("c",), "label", (2, 4), max_depth=3, min_leaf=2)]
+    assert found[240] == found[1 << 29] and fitted == [True, True, True, False]
+    assert len(spreads) == 2 and all("features" not in c and "key" not in c for c in spreads)
